@@ -244,8 +244,18 @@ def kpi_row(spark: SparkSession, sf: str) -> DataFrame:
     return settle(kpi(spark, sf), "total_volume_usd_1h", "at_risk_usd_1h")
 
 
+def stored_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores as a table, for queries that read them more than once."""
+    return save_and_reload(scores(spark, sf), "scores")
+
+
 def fraud_feed(spark: SparkSession, sf: str) -> DataFrame:
-    feed = views.fraud_feed(alerts(spark, sf), profile(spark, sf), ordered=True)
+    stored, at = stored_scores(spark, sf), as_of(spark, sf)
+    feed = views.fraud_feed(
+        views.fraud_alerts(stored, at, CONFIG.views.alert_lookback),
+        views.user_risk_profile(stored, at, CONFIG.views.profile_lookback),
+        ordered=True,
+    )
     return settle(feed, "fraud_score", "avg_fraud_score", "total_amount_24h")
 
 
@@ -371,7 +381,9 @@ def country_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fraud_rate_measure(spark: SparkSession, sf: str) -> DataFrame:
-    return settle(measures.fraud_rate_measure(alerts(spark, sf), scores(spark, sf)), "fraud_rate_pct")
+    stored = stored_scores(spark, sf)
+    recent = views.fraud_alerts(stored, as_of(spark, sf), CONFIG.views.alert_lookback)
+    return settle(measures.fraud_rate_measure(recent, stored), "fraud_rate_pct")
 
 
 def at_risk_usd(spark: SparkSession, sf: str) -> DataFrame:

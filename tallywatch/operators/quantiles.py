@@ -22,7 +22,7 @@ def grouped_quantiles(
     quantiles: dict[str, float],
     resolution: int = 256,
 ) -> DataFrame:
-    """One row per key with linearly interpolated quantiles of ``value``.
+    """One row per non-null key with linearly interpolated quantiles of ``value``.
 
     Equal values are counted before the exchange. Bucket counts locate the
     bucket that holds each wanted rank, and only rows of those buckets are
@@ -30,7 +30,7 @@ def grouped_quantiles(
     """
     keys = list(keys)
     frequencies = (
-        rows.filter(F.col(value).isNotNull())
+        rows.dropna(subset=[*keys, value])
         .withColumn("_bucket", _bucket(F.col(value), resolution))
         .groupBy(*keys, "_bucket", F.col(value).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))

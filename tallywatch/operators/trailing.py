@@ -55,21 +55,22 @@ def trailing_stats(
     keys = list(keys)
 
     own = rows.withColumn("_pos", position).withColumn("_block", block_index(F.col("_pos"), block))
-    expiring = own.select(
-        *keys,
-        (F.col("_pos") + frame).alias("_pos"),
-        (F.col("_block") + span).alias("_block"),
-        F.col(value).alias("_leaving"),
-        F.lit(False).alias("_own"),
+    # Copies carry the value only; making them here reads the input once.
+    carried = [c for c in rows.columns if c not in keys]
+    both = own.withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumns(
+        {
+            **{c: F.when(F.col("_own"), F.col(c)) for c in carried},
+            "_leaving": F.when(~F.col("_own"), F.col(value)),
+            "_pos": F.when(F.col("_own"), F.col("_pos")).otherwise(F.col("_pos") + frame),
+            "_block": F.when(F.col("_own"), F.col("_block")).otherwise(F.col("_block") + span),
+        }
     )
-    both = own.withColumn("_own", F.lit(True)).unionByName(expiring, allowMissingColumns=True)
     where = [*keys, "_block"]
     if place:
         stretch = block_index(F.col("_block") * block, place[1])
         both = both.withColumn(place[0], stretch).repartition(*keys, place[0])
         where = [*keys, place[0], "_block"]
 
-    arriving = F.when(F.col("_own"), F.col(value))
     up_to_now = (
         Window.partitionBy(*where)
         .orderBy("_pos")
@@ -83,7 +84,7 @@ def trailing_stats(
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ends = {}
-    for side, part, over in (("_new", arriving, up_to_now), ("_old", F.col("_leaving"), still_inside)):
+    for side, part, over in (("_new", F.col(value), up_to_now), ("_old", F.col("_leaving"), still_inside)):
         ends[f"{side}_n"] = F.count(part).over(over)
         ends[f"{side}_s"] = F.sum(part).over(over)
         ends[f"{side}_hi"] = F.max(part).over(over)
@@ -94,7 +95,7 @@ def trailing_stats(
     sides = ["_new", "_old"]
     if span > 1:
         middle = _middle_blocks(own, keys, value, span, deviation)
-        measured = measured.join(middle, [*keys, "_block"])
+        measured = measured.join(middle, [*keys, "_block"], "left")
         sides.append("_mid")
 
     def summed(field: str) -> Column:
@@ -139,37 +140,38 @@ def _middle_blocks(own: DataFrame, keys: list[str], value: str, span: int, devia
     return per_block.select(*keys, "_block", *[c.alias(name) for name, c in measures.items()])
 
 
+def rows_in_earlier_blocks(blocks: DataFrame, keys: Sequence[str], block: str, rows: str) -> Column:
+    """Rows of the key before this block, over a table with one row per block."""
+    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(rows).over(before), F.lit(0))
+
+
 def row_positions(
     rows: DataFrame,
     keys: Sequence[str],
     position: Column,
-    block: int,
     tie_break: str,
     out: str,
-    block_column: str | None = None,
+    block: int | None = None,
+    known: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Zero-based index of each row within its keys by (position, tie break).
 
     Rows are numbered inside blocks of ``position`` and shifted by the number
-    of rows in the key's earlier blocks. ``block_column`` names a column that
-    already holds the block index and that the rows are placed by.
+    of rows in the key's earlier blocks. ``known`` names a block column the
+    rows are placed by and a column with that number, where both are present.
     """
     keys = list(keys)
-    held = F.col(block_column) if block_column else block_index(F.col("_pos"), block)
-    placed = rows.withColumn("_pos", position).withColumn("_block", held)
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = (
-        placed.groupBy(*keys, "_block")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_earlier"))
-    )
+    placed = rows.withColumn("_pos", position)
+    if known:
+        placed = placed.withColumns({"_block": F.col(known[0]), "_earlier": F.col(known[1])})
+    else:
+        placed = placed.withColumn("_block", block_index(F.col("_pos"), block))
+        counts = placed.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_rows"))
+        earlier = rows_in_earlier_blocks(counts, keys, "_block", "_rows")
+        placed = placed.join(counts.select(*keys, "_block", earlier.alias("_earlier")), [*keys, "_block"], "left")
     inside = Window.partitionBy(*keys, "_block").orderBy("_pos", tie_break)
-    return (
-        placed.withColumn("_inside", F.row_number().over(inside))
-        .join(earlier, [*keys, "_block"])
-        .withColumn(out, F.col("_inside") - 1 + F.col("_earlier"))
-        .select(*rows.columns, out)
-    )
+    return placed.withColumn(out, F.row_number().over(inside) - 1 + F.col("_earlier")).select(*rows.columns, out)
 
 
 def previous_values(
@@ -198,7 +200,7 @@ def previous_values(
     return (
         placed.withColumn("_previous", F.lag(held).over(inside))
         .withColumn("_is_first", F.row_number().over(inside) == 1)
-        .join(carried, [*keys, "_block"])
+        .join(carried, [*keys, "_block"], "left")
         .withColumn("_previous", F.when(F.col("_is_first"), F.col("_carried")).otherwise(F.col("_previous")))
         .select(*rows.columns, *[F.col(f"_previous.{c}").alias(out) for c, out in columns.items()])
     )

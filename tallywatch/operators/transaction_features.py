@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.times import epoch_micros, is_night, is_weekend, micros_of, weekday_from_monday
 from tallywatch.operators.quantiles import grouped_quantiles
-from tallywatch.operators.trailing import block_index, row_positions, trailing_stats
+from tallywatch.operators.trailing import (
+    block_index,
+    row_positions,
+    rows_in_earlier_blocks,
+    trailing_stats,
+)
 from tallywatch.schema import MODEL_FEATURES
 
 DAY = micros_of("1 day")
@@ -78,14 +83,16 @@ def trailing_count(transactions: DataFrame, frame: str = "24 hours", out: str =
     )
 
 
-def row_zscore(transactions: DataFrame, out: str = "zscore_amount", block_column: str | None = None) -> DataFrame:
+def row_zscore(
+    transactions: DataFrame, out: str = "zscore_amount", known: tuple[str, str] | None = None
+) -> DataFrame:
     """Distance from the mean of the user's last 100 rows, in deviations.
 
     Null until ten rows are seen. Rows are first numbered per user, so the
     row frame is a trailing frame over that number.
     """
     numbered = row_positions(
-        transactions, ["user_id"], _event_micros(), DAY, "transaction_id", "_row", block_column
+        transactions, ["user_id"], _event_micros(), "transaction_id", "_row", block=DAY, known=known
     )
     measured = trailing_stats(
         numbered,
@@ -126,37 +133,35 @@ def iqr_outliers(
     )
 
 
-def daily_countries(
-    transactions: DataFrame,
-    history: DataFrame | None = None,
-    out: str = "country_count_1h",
-    day_column: str | None = None,
-) -> DataFrame:
+def daily_summary(transactions: DataFrame, out: str = "country_count_1h") -> DataFrame:
+    """Per user and day: distinct countries, and the user's rows before."""
+    per_day = (
+        transactions.select("user_id", block_index(_event_micros(), DAY).alias("_day"), "merchant_country")
+        .groupBy("user_id", "_day")
+        .agg(F.count_distinct("merchant_country").alias(out), F.count(F.lit(1)).alias("_rows"))
+    )
+    return per_day.withColumn("_earlier", rows_in_earlier_blocks(per_day, ["user_id"], "_day", "_rows")).drop("_rows")
+
+
+def daily_countries(transactions: DataFrame, out: str = "country_count_1h") -> DataFrame:
     """Distinct countries of the user on the row's calendar day.
 
     The output keeps its customary name although it covers a day.
     """
-    source = transactions if history is None else history
-    day = day_column or "_day"
-    per_day = (
-        source.select("user_id", block_index(_event_micros(), DAY).alias(day), "merchant_country")
-        .groupBy("user_id", day)
-        .agg(F.count_distinct("merchant_country").alias(out))
-    )
-    placed = transactions if day_column else transactions.withColumn(day, block_index(_event_micros(), DAY))
-    return placed.join(per_day, ["user_id", day], "left").select(*transactions.columns, out)
+    placed = transactions.withColumn("_day", block_index(_event_micros(), DAY))
+    return placed.join(daily_summary(transactions, out), ["user_id", "_day"], "left").select(*transactions.columns, out)
 
 
 def behavioral_features(transactions: DataFrame) -> DataFrame:
     """The full per-transaction feature frame.
 
-    One exchange on (user, day) serves the trailing hour, the row numbering
-    and the daily countries; the row z-score and the user bounds take one
-    more each.
+    One exchange on (user, day) serves the trailing hour, the daily countries
+    and the row numbering; the row z-score and the user bounds take one more
+    each. Daily and per-user summaries are built from the input itself.
     """
     placed = trailing_hour_features(transactions, place=("_day", DAY))
-    with_days = daily_countries(placed, history=transactions, day_column="_day")
-    with_z = row_zscore(with_days, block_column="_day").drop("_day")
+    with_days = placed.join(daily_summary(transactions), ["user_id", "_day"], "left")
+    with_z = row_zscore(with_days, known=("_day", "_earlier")).drop("_day", "_earlier")
     with_bounds = iqr_outliers(with_z, history=transactions)
     return flag_features(time_features(with_bounds))
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.config import WindowConfig
-from tallywatch.functions.moments import merged_deviation_of_array, sample_stddev, squared_deviation
+from tallywatch.functions.moments import sample_stddev, squared_deviation
 from tallywatch.functions.times import interval, micros_of
 
 FEATURE_COLUMNS = (
@@ -46,18 +46,22 @@ def direct_window_features(transactions: DataFrame, cfg: WindowConfig = WindowCo
 def window_features(transactions: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
     """The same measures for stored tables, without copying rows per window.
 
-    Rows are first reduced to panes of one slide per user, and only panes are
-    copied to the windows they belong to. Panes are then placed by user, so
-    the window aggregate needs no further exchange; a user's panes are bounded
-    by the time span, however many rows the user has.
+    Rows are first reduced to panes of one slide per user and country, and
+    only panes are copied to the windows they belong to. Panes are then placed
+    by user, so nothing after needs an exchange; a user's panes are bounded by
+    the time span and the countries, however many rows the user has.
+
+    A window's spread is that of its panes around the window mean, so the mean
+    is attached to the panes before they are added up.
     """
     length, slide = micros_of(cfg.length), micros_of(cfg.slide)
     if length % slide:
         return direct_window_features(transactions, cfg)
-    per_window = length // slide
 
     panes = (
-        transactions.groupBy(F.window("event_time", cfg.slide).alias("w"), "user_id")
+        transactions.groupBy(
+            F.window("event_time", cfg.slide).alias("w"), "user_id", "merchant_country"
+        )
         .agg(
             F.count("transaction_id").alias("rows"),
             F.count("amount").alias("n"),
@@ -65,39 +69,38 @@ def window_features(transactions: DataFrame, cfg: WindowConfig = WindowConfig())
             squared_deviation(F.col("amount")).alias("m2"),
             F.min("amount").alias("low"),
             F.max("amount").alias("high"),
-            F.collect_set("merchant_country").alias("countries"),
         )
-        .select("user_id", F.col("w.start").alias("pane"), "rows", "n", "s", "m2", "low", "high", "countries")
+        .select("user_id", "merchant_country", F.col("w.start").alias("pane"), "rows", "n", "s", "m2", "low", "high")
         .repartition("user_id")
     )
-    first = F.col("pane") - interval(cfg.slide) * (per_window - 1)
+    first = F.col("pane") - interval(cfg.slide) * (length // slide - 1)
     copies = panes.withColumn("window_start", F.explode(F.sequence(first, "pane", interval(cfg.slide))))
 
-    def constant_or(stddev: Column) -> Column:
-        return F.when((F.col("low") == F.col("high")) & (F.col("n") > 1), 0.0).otherwise(stddev)
-
-    merged = copies.groupBy("user_id", "window_start").agg(
-        F.sum("rows").alias("txn_count_1h"),
-        F.sum("n").alias("n"),
-        F.sum("s").alias("total_amount_1h"),
-        F.collect_list(F.struct("n", "s", "m2")).alias("parts"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.collect_list("countries").alias("countries"),
-    )
-    merged = merged.withColumn("avg_amount_1h", F.try_divide(F.col("total_amount_1h"), F.col("n")))
-    deviation = merged_deviation_of_array(F.col("parts"), F.col("avg_amount_1h"))
-    return merged.select(
-        "window_start",
-        (F.col("window_start") + interval(cfg.length)).alias("window_end"),
-        "user_id",
-        "txn_count_1h",
-        "total_amount_1h",
-        "avg_amount_1h",
-        constant_or(sample_stddev(F.col("n"), deviation)).alias("stddev_amount_1h"),
-        F.col("high").alias("max_amount_1h"),
-        F.size(F.array_distinct(F.flatten("countries"))).cast("long").alias("country_count_1h"),
+    whole = Window.partitionBy("user_id", "window_start")
+    gap = F.try_divide(F.col("s"), F.col("n")) - F.col("mean")
+    spread = (
+        copies.withColumn("mean", F.try_divide(F.sum("s").over(whole), F.sum("n").over(whole)))
+        .withColumn("m2", F.when(F.col("n") > 0, F.col("m2") + F.col("n") * gap * gap))
+        .groupBy("user_id", "window_start")
+        .agg(
+            F.sum("rows").alias("txn_count_1h"),
+            F.sum("n").alias("n"),
+            F.sum("s").alias("total_amount_1h"),
+            F.sum("m2").alias("m2"),
+            F.min("low").alias("low"),
+            F.max("high").alias("max_amount_1h"),
+            F.count_distinct("merchant_country").alias("country_count_1h"),
+        )
     )
+    # Equal amounts have no spread at all, not even a rounding error's worth.
+    stddev = sample_stddev(F.col("n"), F.when(F.col("low") == F.col("max_amount_1h"), 0.0).otherwise(F.col("m2")))
+    return spread.withColumns(
+        {
+            "window_end": F.col("window_start") + interval(cfg.length),
+            "avg_amount_1h": F.try_divide(F.col("total_amount_1h"), F.col("n")),
+            "stddev_amount_1h": stddev,
+        }
+    ).select(*FEATURE_COLUMNS)
 
 
 def non_overlapping(windows: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
