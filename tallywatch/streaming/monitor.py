@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
@@ -106,10 +106,11 @@ def stream_metrics(progress: DataFrame) -> DataFrame:
     return latest.select("query", F.inline(pairs))
 
 
-def count_deliveries(tagged: DataFrame, name: str = "ingest") -> DataFrame:
-    """Attaches accepted and rejected counters that a listener can read."""
+def count_deliveries(tagged: DataFrame, observation: Observation | str = "ingest") -> DataFrame:
+    """Attaches accepted and rejected counters: an observation reads them for
+    one action, a query listener by name for every batch."""
     return tagged.observe(
-        name,
+        observation,
         F.count_if(F.col("error").isNull()).alias("messages_sent"),
         F.count_if(F.col("error").isNotNull()).alias("messages_failed"),
     )
