@@ -574,10 +574,14 @@ SELECT error, 'transactions' AS original_topic, count(*) AS message_count
 FROM bodies WHERE error IS NOT NULL GROUP BY error""",
     "stream_txn_features": f"""
 WITH {PER_TX}
-SELECT {replaced(WINDOW_SUMS + ' burst_amount')} FROM (
+SELECT {replaced(WINDOW_SUMS + ' burst_amount zscore_amount')} FROM (
   SELECT user_id, transaction_id, amount, txn_count_1h, total_amount_1h, avg_amount_1h, stddev_amount_1h,
          max_amount_1h, count(amount) OVER {LAST_DAY} AS txn_count_24h,
          sum(amount) OVER {LAST_MINUTE} AS burst_amount,
-         count(DISTINCT merchant_country) OVER {LAST_DAY} AS country_count_24h
-  FROM hour_stats)""",
+         count(DISTINCT merchant_country) OVER {LAST_DAY} AS country_count_24h,
+         count(DISTINCT merchant_country) OVER (
+           PARTITION BY user_id, event_time::DATE ORDER BY event_time
+           RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS country_count_1h,
+         zscore_amount
+  FROM hour_stats JOIN row_stats USING (transaction_id))""",
 }

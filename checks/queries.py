@@ -533,7 +533,10 @@ def stream_transaction_features(spark: SparkSession, sf: str) -> DataFrame:
     ).awaitTermination()
     rows = spark.read.parquet(f"{path}/rows")
     return settle(
-        rows.drop("batch_id", "event_time", "merchant_country"), *HOUR_SUMS, "burst_amount"
+        rows.drop("batch_id", "event_time", "merchant_country", "card_present", "is_high_risk_merchant"),
+        *HOUR_SUMS,
+        "burst_amount",
+        "zscore_amount",
     )
 
 

@@ -3,7 +3,9 @@
 State per user is held by minute: a summary of each minute of the last day and
 the minute's rows. A transaction reads the summaries of the whole minutes in
 its frames and the rows of the minutes at their ends only, so the work per
-transaction does not grow with the number of rows in a frame.
+transaction does not grow with the number of rows in a frame. The last hundred
+amounts older than a day are kept for the row z-score. What one call receives
+is bounded by the source's intake per trigger.
 """
 
 from __future__ import annotations
@@ -21,6 +23,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallywatch.config import RuleConfig
 from tallywatch.functions.times import epoch_micros
+from tallywatch.operators.transaction_features import (
+    ZSCORE_EPSILON,
+    ZSCORE_MIN_ROWS,
+    ZSCORE_ROWS,
+    flag_features,
+    time_features,
+)
 
 # Workers get the processor by value, so they need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -36,6 +45,8 @@ OUTPUT_SCHEMA = T.StructType(
         T.StructField("event_time", T.TimestampType()),
         T.StructField("amount", T.DoubleType()),
         T.StructField("merchant_country", T.StringType()),
+        T.StructField("card_present", T.BooleanType()),
+        T.StructField("is_high_risk_merchant", T.BooleanType()),
         T.StructField("txn_count_1h", T.LongType()),
         T.StructField("total_amount_1h", T.DoubleType()),
         T.StructField("avg_amount_1h", T.DoubleType()),
@@ -44,8 +55,13 @@ OUTPUT_SCHEMA = T.StructType(
         T.StructField("txn_count_24h", T.LongType()),
         T.StructField("burst_amount", T.DoubleType()),
         T.StructField("country_count_24h", T.LongType()),
+        T.StructField("country_count_1h", T.LongType()),
+        T.StructField("zscore_amount", T.DoubleType()),
     ]
 )
+INPUTS = [f.name for f in OUTPUT_SCHEMA.fields[1:7]]
+MEASURES = [f.name for f in OUTPUT_SCHEMA.fields[7:]]
+OLDER_SCHEMA = T.StructType([T.StructField("amount", T.ArrayType(T.DoubleType()))])
 ROWS_SCHEMA = T.StructType(
     [
         T.StructField("at", T.ArrayType(T.LongType())),
@@ -86,6 +102,95 @@ class MinuteRows:
         return len(self.at), float(self.amount.sum()), float((gaps * gaps).sum()), float(self.amount.max()), seen
 
 
+class UserPast:
+    """A user's minutes, with rows fetched from state when a frame ends in them."""
+
+    def __init__(self, fetch, summaries: dict[int, tuple], older: list[float]):
+        self.fetch, self.summaries, self.older = fetch, summaries, older
+        self.loaded: dict[int, MinuteRows] = {}
+
+    def minute(self, minute: int) -> MinuteRows:
+        if minute not in self.loaded:
+            held = self.fetch((minute,)) if minute in self.summaries else None
+            self.loaded[minute] = MinuteRows(*(held or ([], [], [])))
+        return self.loaded[minute]
+
+    def add(self, minute: int, at, amount, country) -> MinuteRows:
+        changed = self.minute(minute).with_rows(at, amount, country)
+        self.loaded[minute] = changed
+        self.summaries[minute] = changed.summary()
+        return changed
+
+    def index(self) -> None:
+        """Column form of the summaries, in time order."""
+        minutes = sorted(self.summaries)
+        held = [self.summaries[m] for m in minutes]
+        self.starts = np.asarray(minutes, dtype="int64")
+        self.counts = np.asarray([h[0] for h in held], dtype="int64")
+        self.sums, self.deviations, self.highs = (np.asarray([h[i] for h in held], dtype="float64") for i in (1, 2, 3))
+        self.running = np.r_[0, np.cumsum(self.counts)]
+        places: dict[str, list[int]] = {}
+        for minute, summary in zip(minutes, held):
+            for name in summary[4]:
+                places.setdefault(name, []).append(minute)
+        self.seen_in = {name: np.asarray(found) for name, found in places.items()}
+
+    def frame(self, low: int, high: int):
+        """``(low, high]`` as whole minutes and the loose rows at both ends."""
+        opening, closing = low // MINUTE, high // MINUTE
+        edges = [opening, closing] if opening != closing and opening in self.summaries else [closing]
+        loose = []
+        for minute in edges:
+            rows = self.minute(minute)
+            loose.append((rows, slice(*np.searchsorted(rows.at, [low, high], side="right"))))
+        first, last = np.searchsorted(self.starts, [opening + 1, closing])
+        return slice(first, max(first, last)), loose
+
+    def count(self, low: int, high: int) -> int:
+        whole, loose = self.frame(low, high)
+        return int(self.running[whole.stop] - self.running[whole.start]) + sum(k.stop - k.start for _, k in loose)
+
+    def total(self, low: int, high: int) -> float:
+        whole, loose = self.frame(low, high)
+        return float(self.sums[whole].sum() + sum(rows.amount[k].sum() for rows, k in loose))
+
+    def countries(self, low: int, high: int) -> int:
+        whole, loose = self.frame(low, high)
+        seen = {name for rows, k in loose for name in rows.country[k] if name is not None}
+        if whole.stop > whole.start:
+            bounds = self.starts[whole.start], self.starts[whole.stop - 1]
+            for name, minutes in self.seen_in.items():
+                first, after = np.searchsorted(minutes, bounds[0]), np.searchsorted(minutes, bounds[1], side="right")
+                if after > first:
+                    seen.add(name)
+        return len(seen)
+
+    def spread(self, low: int, high: int) -> tuple[int, float, float, float, float]:
+        """Count, sum, mean, sample deviation (0 for one row) and maximum."""
+        whole, loose = self.frame(low, high)
+        ends = np.concatenate([rows.amount[k] for rows, k in loose])
+        n = int(self.counts[whole].sum() + len(ends))
+        total = float(self.sums[whole].sum() + ends.sum())
+        mean = total / n
+        shift = self.sums[whole] / self.counts[whole] - mean
+        around = (self.deviations[whole] + self.counts[whole] * shift * shift).sum() + ((ends - mean) ** 2).sum()
+        top = max([*self.highs[whole].tolist(), *ends.tolist()])
+        return n, total, mean, float(np.sqrt(around / (n - 1))) if n > 1 else 0.0, top
+
+    def last_amounts(self, minute: int, upto: int) -> np.ndarray:
+        """Up to a hundred amounts ending with row ``upto`` of ``minute``."""
+        found = [self.minute(minute).amount[max(0, upto + 1 - ZSCORE_ROWS) : upto + 1]]
+        missing = ZSCORE_ROWS - len(found[0])
+        place = np.searchsorted(self.starts, minute)
+        while missing > 0 and place > 0:
+            place -= 1
+            found.append(self.minute(int(self.starts[place])).amount[-missing:])
+            missing -= len(found[-1])
+        if missing > 0:
+            found.append(np.asarray(self.older[-missing:], dtype="float64"))
+        return np.concatenate(found[::-1])
+
+
 class TrailingFeatures(StatefulProcessor):
     """Counts, amounts and countries over the last minute, hour and day."""
 
@@ -93,113 +198,69 @@ class TrailingFeatures(StatefulProcessor):
         self.handle = handle
         self.rows = handle.getMapState("rows", MINUTE_SCHEMA, ROWS_SCHEMA)
         self.summaries = handle.getMapState("summaries", MINUTE_SCHEMA, SUMMARY_SCHEMA)
+        self.older = handle.getValueState("older", OLDER_SCHEMA)
+
+    def past(self) -> UserPast:
+        summaries = {minute[0]: tuple(value) for minute, value in self.summaries.iterator()}
+        older = self.older.get()
+        return UserPast(self.rows.getValue, summaries, list(older[0]) if older else [])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)
         new = new.sort_values(["micros", "transaction_id"], kind="stable").reset_index(drop=True)
-        summaries = {minute[0]: tuple(value) for minute, value in self.summaries.iterator()}
-        loaded: dict[int, MinuteRows] = {}
-
-        def load(minute: int) -> MinuteRows:
-            if minute not in loaded:
-                held = self.rows.getValue((minute,)) if minute in summaries else None
-                loaded[minute] = MinuteRows(*(held or ([], [], [])))
-            return loaded[minute]
-
+        past = self.past()
         at = new["micros"].to_numpy()
         amount = new["amount"].to_numpy(dtype="float64")
         country = [None if pd.isna(c) else c for c in new["merchant_country"]]
         minutes = at // MINUTE
-        for minute in np.unique(minutes):
+        for minute in np.unique(minutes).tolist():
             chosen = np.flatnonzero(minutes == minute)
-            changed = load(int(minute)).with_rows(at[chosen], amount[chosen], [country[i] for i in chosen])
-            loaded[int(minute)] = changed
-            summaries[int(minute)] = changed.summary()
-            self.rows.updateValue(
-                (int(minute),), (changed.at.tolist(), changed.amount.tolist(), changed.country)
-            )
-            self.summaries.updateValue((int(minute),), summaries[int(minute)])
-
-        whole = sorted(summaries)
-        starts = np.asarray(whole, dtype="int64")
-        counts = np.asarray([summaries[m][0] for m in whole], dtype="int64")
-        sums = np.asarray([summaries[m][1] for m in whole])
-        deviations = np.asarray([summaries[m][2] for m in whole])
-        highs = np.asarray([summaries[m][3] for m in whole])
-        running = np.r_[0, np.cumsum(counts)]
-        places: dict[str, list[int]] = {}
-        for minute in whole:
-            for name in summaries[minute][4]:
-                places.setdefault(name, []).append(minute)
-        seen_in = {name: np.asarray(held) for name, held in places.items()}
-
-        def ends(t: int, frame: int):
-            """Middle minutes as a slice, and the rows at both ends."""
-            opening, closing = (t - frame) // MINUTE, t // MINUTE
-            first, last = np.searchsorted(starts, [opening + 1, closing])
-            if opening == closing:
-                return slice(0, 0), [(load(closing), t - frame, t)]
-            edges = [(load(opening), t - frame, t)] if opening in summaries else []
-            return slice(first, max(first, last)), [*edges, (load(closing), t - frame, t)]
-
-        def inside(edge):
-            held, low, high = edge
-            return slice(*np.searchsorted(held.at, [low, high], side="right"))
+            held = past.add(minute, at[chosen], amount[chosen], [country[i] for i in chosen])
+            self.rows.updateValue((minute,), (held.at.tolist(), held.amount.tolist(), held.country))
+            self.summaries.updateValue((minute,), past.summaries[minute])
+        past.index()
 
         out = []
-        for t in at.tolist():
-            middle, edges = ends(t, HOUR)
-            parts = [edge[0].amount[inside(edge)] for edge in edges]
-            loose = np.concatenate(parts)
-            n = int(counts[middle].sum() + len(loose))
-            total = float(sums[middle].sum() + loose.sum())
-            mean = total / n
-            shift = sums[middle] / counts[middle] - mean
-            m2 = float(
-                (deviations[middle] + counts[middle] * shift * shift).sum() + ((loose - mean) ** 2).sum()
+        following = np.searchsorted(at, at, side="right") - np.arange(len(at))
+        for t, x, same_time_left in zip(at.tolist(), amount.tolist(), following.tolist()):
+            minute = t // MINUTE
+            row = int(np.searchsorted(past.minute(minute).at, t, side="right")) - same_time_left
+            recent = past.last_amounts(minute, row)
+            z = None
+            if len(recent) >= ZSCORE_MIN_ROWS:
+                z = (x - recent.mean()) / (recent.std(ddof=1) + ZSCORE_EPSILON)
+            out.append(
+                (
+                    *past.spread(t - HOUR, t),
+                    past.count(t - DAY, t),
+                    past.total(t - MINUTE, t),
+                    past.countries(t - DAY, t),
+                    past.countries(t - t % DAY - 1, t),
+                    z,
+                )
             )
-            high = float(max([*highs[middle].tolist(), *loose.tolist()]))
-
-            middle, edges = ends(t, DAY)
-            day_count = int(running[middle.stop] - running[middle.start])
-            day_countries = set()
-            for edge in edges:
-                kept = inside(edge)
-                day_count += kept.stop - kept.start
-                day_countries.update(c for c in edge[0].country[kept] if c is not None)
-            if middle.stop > middle.start:
-                low_minute, high_minute = starts[middle.start], starts[middle.stop - 1]
-                for name, held in seen_in.items():
-                    spot = np.searchsorted(held, low_minute)
-                    if spot < len(held) and held[spot] <= high_minute:
-                        day_countries.add(name)
-
-            middle, edges = ends(t, MINUTE)
-            burst = float(
-                sums[middle].sum() + sum(edge[0].amount[inside(edge)].sum() for edge in edges)
-            )
-            spread = float(np.sqrt(m2 / (n - 1))) if n > 1 else 0.0
-            out.append((n, total, mean, spread, high, day_count, burst, len(day_countries)))
-
-        self._forget(timerValues, sorted(summaries))
-        measured = pd.DataFrame(out, columns=[f.name for f in OUTPUT_SCHEMA.fields[5:]])
-        fields = ["transaction_id", "event_time", "amount", "merchant_country"]
-        result = pd.concat([new[fields], measured], axis=1)
+        self.forget(timerValues, past)
+        result = pd.concat([new[INPUTS], pd.DataFrame(out, columns=MEASURES)], axis=1)
+        result["zscore_amount"] = result["zscore_amount"].astype("float64")
         result.insert(0, "user_id", key[0])
         yield result
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._forget(timerValues, sorted(minute[0] for minute in self.summaries.keys()))
+        self.forget(timerValues, self.past())
         return iter([])
 
-    def _forget(self, timerValues, minutes: list[int]) -> None:
+    def forget(self, timerValues, past: UserPast) -> None:
         """Drop minutes no later transaction can reach; come back for the rest."""
         limit = (timerValues.getCurrentWatermarkInMs() * 1000 - DAY) // MINUTE
-        for minute in minutes:
-            if minute < limit:
+        minutes = sorted(past.summaries)
+        gone = [minute for minute in minutes if minute < limit]
+        if gone:
+            amounts = np.concatenate([past.older, *[past.minute(m).amount for m in gone[-ZSCORE_ROWS:]]])
+            self.older.update((amounts[-ZSCORE_ROWS:].tolist(),))
+            for minute in gone:
                 self.rows.removeKey((minute,))
                 self.summaries.removeKey((minute,))
-        if minutes and minutes[-1] >= limit:
+        if len(gone) < len(minutes):
             # Rounded up to a full hour, so a busy user has few timers.
             done = (minutes[-1] + 2) * MINUTE + DAY
             self.handle.registerTimer(-(-done // HOUR) * (HOUR // 1000))
@@ -212,7 +273,8 @@ def trailing_stream_features(transactions: DataFrame, watermark: str = "10 minut
     """Per-transaction features, emitted as each transaction arrives.
 
     Values reflect what has arrived: a late row is measured against its own
-    past, and rows already emitted are not revised.
+    past, and rows already emitted are not revised. ``country_count_1h`` counts
+    the countries of the calendar day so far.
     """
     rows = transactions.withWatermark("event_time", watermark).select(
         "user_id",
@@ -220,6 +282,8 @@ def trailing_stream_features(transactions: DataFrame, watermark: str = "10 minut
         "event_time",
         "amount",
         "merchant_country",
+        "card_present",
+        "is_high_risk_merchant",
         epoch_micros(F.col("event_time")).alias("micros"),
     )
     return rows.groupBy("user_id").transformWithStateInPandas(
@@ -230,6 +294,11 @@ def trailing_stream_features(transactions: DataFrame, watermark: str = "10 minut
     )
 
 
+def model_inputs(features: DataFrame) -> DataFrame:
+    """Adds the remaining inputs of the model to streamed features."""
+    return flag_features(time_features(features))
+
+
 def stream_rules(features: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
     return features.withColumns(
         {

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -8,15 +9,17 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallywatch.config import DetectionConfig, WindowConfig
+from tallywatch.config import DetectionConfig, ForestConfig, WindowConfig
+from tallywatch.operators.isolation_forest import train_isolation_forest
 from tallywatch.operators.scoring import score_windows
+from tallywatch.operators.transaction_features import behavioral_features, feature_vector
 from tallywatch.operators.window_features import window_features
 from tallywatch.sources.messages import MESSAGE_SCHEMA, parse_transactions, read_messages
 from tallywatch.sources.score_store import read_scores
-from tallywatch.streaming.detection import closed_windows, start, start_dead_letters, start_detection
+from tallywatch.streaming.detection import anomaly_writer, closed_windows, start, start_dead_letters, start_detection
 from tallywatch.streaming.monitor import ProgressLog
 from tallywatch.streaming.sinks import dead_letter_writer, replay_fallback, score_writer, table_writer, with_fallback
-from tallywatch.streaming.stateful import stream_rules, trailing_stream_features
+from tallywatch.streaming.stateful import model_inputs, stream_rules, trailing_stream_features
 
 CONFIG = DetectionConfig(window=WindowConfig("1 hour", "20 minutes"))
 START = datetime(2024, 1, 1)
@@ -139,8 +142,6 @@ def test_dead_letters_and_progress(spark, tmp_path):
         for _ in range(50):
             if log.rows:
                 break
-            import time
-
             time.sleep(0.1)
     finally:
         spark.streams.removeListener(log)
@@ -168,19 +169,46 @@ def past_of(rows, row, hours=0, minutes=0):
 
 
 def test_stateful_features_over_several_batches(spark, tmp_path):
-    """In order, with a late row inside the watermark, over three days."""
-    batches = [some_bodies(i * 80, 80, i * 30_000, 30_000, i) for i in range(8)]
-    batches.append([body(9000, "u1", 8 * 30_000 + 400), body(9001, "u1", 8 * 30_000 + 100)])
-    for bodies in batches:
+    """Seven batches over three days, a restart, and late rows at the end."""
+    batches = [some_bodies(i * 80, 80, i * 36_000, 36_000, i) for i in range(6)]
+    batches.append([body(9000, "u1", 6 * 36_000 + 400), body(9001, "u1", 6 * 36_000 + 100), body(9002, "u1", 6 * 36_000 + 400)])
+    for bodies in batches[:4]:
+        put(spark, tmp_path / "in", bodies)
+    assert len(stateful(spark, tmp_path)) == 320
+    for bodies in batches[4:]:
         put(spark, tmp_path / "in", bodies)
-        got = stateful(spark, tmp_path)
-    assert len(got) == 642
+    got = stateful(spark, tmp_path)
+    assert len(got) == 483
     for row in got.itertuples():
         hour, day, minute = past_of(got, row, hours=1), past_of(got, row, hours=24), past_of(got, row, minutes=1)
         assert row.txn_count_1h == len(hour) and row.txn_count_24h == len(day)
         assert row.total_amount_1h == pytest.approx(hour.amount.sum())
+        assert row.avg_amount_1h == pytest.approx(hour.amount.mean())
         assert row.stddev_amount_1h == pytest.approx(0.0 if len(hour) == 1 else hour.amount.std())
         assert row.max_amount_1h == hour.amount.max()
         assert row.burst_amount == pytest.approx(minute.amount.sum())
         assert row.country_count_24h == day.merchant_country.nunique()
         assert row.rule_country_spread == (day.merchant_country.nunique() > 5)
+        today = day[day.event_time.dt.date == row.event_time.date()]
+        assert row.country_count_1h == today.merchant_country.nunique()
+        mine = got[got.user_id == row.user_id].sort_values(["event_time", "transaction_id"])
+        upto = mine[(mine.event_time < row.event_time) | ((mine.event_time == row.event_time) & (mine.transaction_id <= row.transaction_id))]
+        last = upto.amount.iloc[-100:]
+        if len(last) < 10:
+            assert pd.isna(row.zscore_amount)
+        else:
+            assert row.zscore_amount == pytest.approx((row.amount - last.mean()) / (last.std() + 1e-9), abs=1e-9)
+
+
+def test_forest_scores_a_stream(spark, tmp_path):
+    put(spark, tmp_path / "in", some_bodies(0, 300, 0, 80_000, 3))
+    tx = parse_transactions(read(spark, tmp_path / "in")).fillna(False, ["card_present", "is_high_risk_merchant"])
+    history = parse_transactions(spark.read.schema(MESSAGE_SCHEMA).parquet(str(tmp_path / "in")))
+    history = history.fillna(False, ["card_present", "is_high_risk_merchant"])
+    trained = feature_vector(behavioral_features(history)).select("transaction_id", "features")
+    forest = train_isolation_forest(trained, "transaction_id", cfg=ForestConfig(trees=20))
+    writer = anomaly_writer(forest, dead_letter_writer(str(tmp_path / "rows")))
+    start(model_inputs(trailing_stream_features(tx)), writer, str(tmp_path / "ck"), available_now=True).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "rows")).toPandas()
+    assert len(rows) == 300 and rows["isolation_score"].between(-1, 0, inclusive="left").all()
+    assert 0 < rows["is_anomaly_ml"].sum() < 60
