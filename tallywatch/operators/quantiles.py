@@ -24,22 +24,20 @@ def grouped_quantiles(
 ) -> DataFrame:
     """One row per non-null key with linearly interpolated quantiles of ``value``.
 
-    Equal values are counted before the exchange. Bucket counts locate the
-    bucket that holds each wanted rank, and only rows of those buckets are
-    ranked, each bucket in its own task.
+    Bucket counts locate the bucket that holds each wanted rank, and only
+    values of those buckets are ranked, each bucket apart. Equal values are
+    counted before they are exchanged, so copies of one value cost one row.
     """
     keys = list(keys)
-    frequencies = (
-        rows.dropna(subset=[*keys, value])
-        .withColumn("_bucket", _bucket(F.col(value), resolution))
-        .groupBy(*keys, "_bucket", F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+    valued = rows.dropna(subset=[*keys, value]).select(
+        *keys, F.col(value).alias("_value"), _bucket(F.col(value), resolution).alias("_bucket")
     )
+    frequencies = valued.groupBy(*keys, "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n"))
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
     whole_key = Window.partitionBy(*keys)
     histogram = (
-        frequencies.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_n"))
+        valued.groupBy(*keys, "_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             *keys,
             "_bucket",

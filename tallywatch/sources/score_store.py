@@ -26,12 +26,14 @@ def write_scores(scored: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch; writing the same batch again replaces it.
 
     Files are laid out by processing date and batch, so recency filters read
-    only recent dates.
+    only recent dates. Rebalancing gathers a date's rows in few files and
+    splits a date too large for one task.
     """
     (
         as_score_table(scored)
         .withColumn(DATE_COLUMN, F.to_date("processed_at"))
         .withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
+        .hint("rebalance", DATE_COLUMN)
         .write.partitionBy(DATE_COLUMN, BATCH_COLUMN)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")

@@ -177,19 +177,35 @@ class UserPast:
         top = max([*self.highs[whole].tolist(), *ends.tolist()])
         return n, total, mean, float(np.sqrt(around / (n - 1))) if n > 1 else 0.0, top
 
-    def last_amounts(self, minute: int, upto: int) -> np.ndarray:
-        """Up to a hundred amounts ending with row ``upto`` of ``minute``."""
-        found = [self.minute(minute).amount[max(0, upto + 1 - ZSCORE_ROWS) : upto + 1]]
-        missing = ZSCORE_ROWS - len(found[0])
+    def amounts_before(self, minute: int, wanted: int) -> np.ndarray:
+        """Up to ``wanted`` amounts that precede ``minute``, oldest first."""
+        found: list[np.ndarray] = []
         place = np.searchsorted(self.starts, minute)
-        while missing > 0 and place > 0:
+        while wanted > 0 and place > 0:
             place -= 1
-            found.append(self.minute(int(self.starts[place])).amount[-missing:])
-            missing -= len(found[-1])
-        if missing > 0:
-            found.append(np.asarray(self.older[-missing:], dtype="float64"))
+            found.append(self.minute(int(self.starts[place])).amount[-wanted:])
+            wanted -= len(found[-1])
+        if wanted > 0:
+            found.append(np.asarray(self.older[-wanted:], dtype="float64"))
         return np.concatenate(found[::-1])
 
+    def row_zscores(self, first: int, last: int) -> dict[int, np.ndarray]:
+        """For each minute from first to last, its rows' distance from the
+        mean of the hundred rows that end there; NaN below ten rows."""
+        minutes = self.starts[np.searchsorted(self.starts, first) : np.searchsorted(self.starts, last, side="right")]
+        held = [self.minute(m).amount for m in minutes.tolist()]
+        amounts = np.concatenate(held)
+        before = self.amounts_before(first, ZSCORE_ROWS - 1)
+        gap = np.full(ZSCORE_ROWS - 1 - len(before), np.nan)
+        frames = np.lib.stride_tricks.sliding_window_view(np.r_[gap, before, amounts], ZSCORE_ROWS)
+        seen = np.minimum(len(before) + 1 + np.arange(len(amounts)), ZSCORE_ROWS)
+        mean = np.nansum(frames, axis=1) / seen
+        around = np.nansum((frames - mean[:, None]) ** 2, axis=1)
+        z = (amounts - mean) / (np.sqrt(around / np.maximum(seen - 1, 1)) + ZSCORE_EPSILON)
+        z[seen < ZSCORE_MIN_ROWS] = np.nan
+        ends = np.cumsum([len(h) for h in held])
+        return dict(zip(minutes.tolist(), np.split(z, ends[:-1])))
+
 
 class TrailingFeatures(StatefulProcessor):
     """Counts, amounts and countries over the last minute, hour and day."""
@@ -222,13 +238,10 @@ class TrailingFeatures(StatefulProcessor):
 
         out = []
         following = np.searchsorted(at, at, side="right") - np.arange(len(at))
-        for t, x, same_time_left in zip(at.tolist(), amount.tolist(), following.tolist()):
+        zscores = past.row_zscores(int(minutes[0]), int(minutes[-1]))
+        for t, same_time_left in zip(at.tolist(), following.tolist()):
             minute = t // MINUTE
             row = int(np.searchsorted(past.minute(minute).at, t, side="right")) - same_time_left
-            recent = past.last_amounts(minute, row)
-            z = None
-            if len(recent) >= ZSCORE_MIN_ROWS:
-                z = (x - recent.mean()) / (recent.std(ddof=1) + ZSCORE_EPSILON)
             out.append(
                 (
                     *past.spread(t - HOUR, t),
@@ -236,12 +249,12 @@ class TrailingFeatures(StatefulProcessor):
                     past.total(t - MINUTE, t),
                     past.countries(t - DAY, t),
                     past.countries(t - t % DAY - 1, t),
-                    z,
+                    zscores[minute][row],
                 )
             )
         self.forget(timerValues, past)
         result = pd.concat([new[INPUTS], pd.DataFrame(out, columns=MEASURES)], axis=1)
-        result["zscore_amount"] = result["zscore_amount"].astype("float64")
+        result["zscore_amount"] = [None if np.isnan(z) else z for z in result["zscore_amount"]]
         result.insert(0, "user_id", key[0])
         yield result
 
