@@ -21,6 +21,14 @@ from tallywatch.streaming.monitor import ProgressLog
 from tallywatch.streaming.sinks import dead_letter_writer, replay_fallback, score_writer, table_writer, with_fallback
 from tallywatch.streaming.stateful import model_inputs, stream_rules, trailing_stream_features
 
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 CONFIG = DetectionConfig(window=WindowConfig("1 hour", "20 minutes"))
 START = datetime(2024, 1, 1)
 
