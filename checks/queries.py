@@ -27,7 +27,7 @@ from tallywatch.operators.window_features import non_overlapping, window_feature
 from tallywatch.plans import views
 from tallywatch.plans.detection import last_window_end, scored_windows, valid_amounts
 from tallywatch.plans.refresh import read_feed, refresh_views
-from tallywatch.session import ROCKSDB_PROVIDER, save_and_reload, shared_dir
+from tallywatch.session import save_and_reload, shared_dir, stream_settings
 from tallywatch.sources.messages import (
     dead_letters,
     encode,
@@ -45,7 +45,7 @@ from tallywatch.sources.tables import (
     transactions_from_order_lines,
 )
 from tallywatch.streaming.detection import start, start_dead_letters, start_detection
-from tallywatch.streaming.sinks import dead_letter_writer, score_writer, with_fallback
+from tallywatch.streaming.sinks import batch_folder_writer, score_writer, with_fallback
 from tallywatch.streaming.stateful import trailing_stream_features
 
 CONFIG = DetectionConfig(
@@ -507,7 +507,8 @@ def stream_window_features(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "stream")
     stream = envelopes(event_stream(spark, sf))
     writer = with_fallback(score_writer(f"{path}/scores"), f"{path}/fallback")
-    start_detection(stream, writer, f"{path}/checkpoint", CONFIG, available_now=True).awaitTermination()
+    with stream_settings(spark):
+        start_detection(stream, writer, f"{path}/checkpoint", CONFIG, available_now=True).awaitTermination()
     rows = read_scores(spark, f"{path}/scores").drop("processed_at", "processed_date", "batch_id")
     return settle(rows, *WINDOW_SUMS, "zscore_amount", "fraud_score")
 
@@ -515,22 +516,21 @@ def stream_window_features(spark: SparkSession, sf: str) -> DataFrame:
 def stream_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "stream")
     stream = envelopes(event_stream(spark, sf))
-    query = start_dead_letters(
-        stream, dead_letter_writer(f"{path}/rejected"), f"{path}/checkpoint", CONFIG, available_now=True
-    )
-    query.awaitTermination()
+    writer = batch_folder_writer(f"{path}/rejected")
+    start_dead_letters(stream, writer, f"{path}/checkpoint", CONFIG, available_now=True).awaitTermination()
     rows = spark.read.parquet(f"{path}/rejected")
     return rows.groupBy("error", "original_topic").agg(F.count(F.lit(1)).alias("message_count"))
 
 
 def stream_transaction_features(spark: SparkSession, sf: str) -> DataFrame:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     path = shared_dir(spark, "stream")
     stream = valid_amounts(transactions_from_events(event_stream(spark, sf)))
     stream = stream.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    start(
-        trailing_stream_features(stream), dead_letter_writer(f"{path}/rows"), f"{path}/checkpoint", available_now=True
-    ).awaitTermination()
+    writer = batch_folder_writer(f"{path}/rows")
+    with stream_settings(spark):
+        start(
+            trailing_stream_features(stream), writer, f"{path}/checkpoint", available_now=True
+        ).awaitTermination()
     rows = spark.read.parquet(f"{path}/rows")
     return settle(
         rows.drop("batch_id", "event_time", "merchant_country", "card_present", "is_high_risk_merchant"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +41,30 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def stream_settings(spark: SparkSession, state_partitions: int | None = None) -> Iterator[None]:
+    """Settings a stateful query keeps from its first start on.
+
+    The number of state partitions is fixed in the checkpoint; it defaults to
+    the cores at hand, not to the number that suits stored data.
+    """
+    wanted = {
+        "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new path below the folder named by ``spark.checkpoint.dir``.
 

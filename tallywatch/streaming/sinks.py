@@ -77,8 +77,8 @@ def replay_fallback(spark: SparkSession, fallback_path: str, scores_path: str) -
     )
 
 
-def dead_letter_writer(path: str) -> BatchWriter:
-    """Keeps rejected messages, one folder per batch, rewritten on retry."""
+def batch_folder_writer(path: str) -> BatchWriter:
+    """Writes rows as they are, one folder per batch, rewritten on retry."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH_COLUMN}={batch_id}")

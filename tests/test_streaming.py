@@ -18,7 +18,7 @@ from tallywatch.sources.messages import MESSAGE_SCHEMA, parse_transactions, read
 from tallywatch.sources.score_store import read_scores
 from tallywatch.streaming.detection import anomaly_writer, closed_windows, start, start_dead_letters, start_detection
 from tallywatch.streaming.monitor import ProgressLog
-from tallywatch.streaming.sinks import dead_letter_writer, replay_fallback, score_writer, table_writer, with_fallback
+from tallywatch.streaming.sinks import batch_folder_writer, replay_fallback, score_writer, table_writer, with_fallback
 from tallywatch.streaming.stateful import model_inputs, stream_rules, trailing_stream_features
 
 @pytest.fixture(autouse=True, scope="module")
@@ -144,7 +144,7 @@ def test_dead_letters_and_progress(spark, tmp_path):
     spark.streams.addListener(log)
     try:
         query = start_dead_letters(
-            read(spark, tmp_path / "in"), dead_letter_writer(str(tmp_path / "dlq")), str(tmp_path / "ck"), available_now=True
+            read(spark, tmp_path / "in"), batch_folder_writer(str(tmp_path / "dlq")), str(tmp_path / "ck"), available_now=True
         )
         query.awaitTermination()
         for _ in range(50):
@@ -162,7 +162,7 @@ def stateful(spark, tmp_path):
     tx = parse_transactions(read(spark, tmp_path / "in"))
     query = start(
         stream_rules(trailing_stream_features(tx)),
-        dead_letter_writer(str(tmp_path / "rows")),
+        batch_folder_writer(str(tmp_path / "rows")),
         str(tmp_path / "ck"),
         available_now=True,
     )
@@ -215,7 +215,7 @@ def test_forest_scores_a_stream(spark, tmp_path):
     history = history.fillna(False, ["card_present", "is_high_risk_merchant"])
     trained = feature_vector(behavioral_features(history)).select("transaction_id", "features")
     forest = train_isolation_forest(trained, "transaction_id", cfg=ForestConfig(trees=20))
-    writer = anomaly_writer(forest, dead_letter_writer(str(tmp_path / "rows")))
+    writer = anomaly_writer(forest, batch_folder_writer(str(tmp_path / "rows")))
     start(model_inputs(trailing_stream_features(tx)), writer, str(tmp_path / "ck"), available_now=True).awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "rows")).toPandas()
     assert len(rows) == 300 and rows["isolation_score"].between(-1, 0, inclusive="left").all()
