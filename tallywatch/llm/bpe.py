@@ -32,7 +32,7 @@ from tallywatch.llm.common import fresh
 
 # The pattern belongs to the vocabulary format: fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 48
 
 
@@ -77,11 +77,11 @@ class Codec:
         self.byte_ids = [0] * 256
         for letter, byte in letters.items():
             self.byte_ids[byte] = vocab[letter]
-        # (left << 32 | right) -> (rank << 32 | merged)
-        self.merges: dict[int, int] = {}
+        # by left id: right id -> (rank << 32 | merged id)
+        self.merges: list[dict[int, int]] = [{} for _ in range(max(self.strings) + 1)]
         for rank, merge in enumerate(parsed["model"]["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
-            self.merges[vocab[left] << 32 | vocab[right]] = rank << 32 | vocab[left + right]
+            self.merges[vocab[left]][vocab[right]] = rank << 32 | vocab[left + right]
         self.pieces = regex.compile(PATTERN).findall
         longest_first = sorted(self.special, key=len, reverse=True)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.special else None
@@ -91,32 +91,39 @@ class Codec:
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one piece."""
-        ids = [self.byte_ids[b] for b in piece]
-        n, known = len(ids), self.merges.get
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        ranks = map(known, [left << 32 | right for left, right in zip(ids, ids[1:])])
-        queue = [found >> 32 << 32 | at for at, found in enumerate(ranks) if found is not None]
+        ids, merges = [self.byte_ids[b] for b in piece], self.merges
+        n = len(ids)
+        # one symbol more at the end that merges with nothing
+        ids.append(-1)
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        # an entry is rank and place in one number, so the heap orders by both
+        queue = []
+        for at in range(n - 1):
+            found = merges[ids[at]].get(ids[at + 1])
+            if found is not None:
+                queue.append(found >> 32 << 32 | at)
         heapify(queue)
         while queue:
             entry = heappop(queue)
             at = entry & 0xFFFFFFFF
-            right = after[at]
-            if ids[at] < 0 or right >= n:
+            own = ids[at]
+            if own < 0:
                 continue
-            found = known(ids[at] << 32 | ids[right])
+            right = after[at]
+            found = merges[own].get(ids[right])
+            # stale: the pair here is not the one that was queued
             if found is None or found >> 32 != entry >> 32:
                 continue
             ids[at] = merged = found & 0xFFFFFFFF
             ids[right] = -1
-            after[at] = following = after[right]
-            if following < n:
-                before[following] = at
-                found = known(merged << 32 | ids[following])
-                if found is not None:
-                    heappush(queue, found >> 32 << 32 | at)
+            after[at] = right = after[right]
+            before[right] = at
+            found = merges[merged].get(ids[right])
+            if found is not None:
+                heappush(queue, found >> 32 << 32 | at)
             left = before[at]
             if left >= 0:
-                found = known(ids[left] << 32 | merged)
+                found = merges[ids[left]].get(merged)
                 if found is not None:
                     heappush(queue, found >> 32 << 32 | left)
         return [i for i in ids if i >= 0]
