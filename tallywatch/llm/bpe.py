@@ -32,7 +32,7 @@ from tallywatch.llm.common import fresh
 
 # The pattern belongs to the vocabulary format: fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 LONGEST_REMEMBERED = 48
 
 
@@ -48,6 +48,10 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+def _numbers(joined: str) -> np.ndarray:
+    return np.fromstring(joined, np.int32, sep=",") if joined else np.zeros(0, np.int32)
+
+
 class Remembered(dict):
     """Results of ``compute`` by text, forgotten all at once when there are too many."""
 
@@ -128,27 +132,24 @@ class Codec:
                     heappush(queue, found >> 32 << 32 | left)
         return [i for i in ids if i >= 0]
 
-    def _piece(self, piece: str) -> tuple[str, int, bytes]:
-        ids = self.merge(piece.encode())
-        return ",".join(map(str, ids)), len(ids), b"".join(map(self.strings.__getitem__, ids))
+    def _piece(self, piece: str) -> str:
+        return ",".join(map(str, self.merge(piece.encode())))
 
-    def _chunk(self, chunk: str) -> tuple[str, int, bytes]:
-        pieces = [self.known_pieces[piece] for piece in self.pieces(chunk)]
-        return ",".join([x[0] for x in pieces]), sum(x[1] for x in pieces), b"".join([x[2] for x in pieces])
+    def _chunk(self, chunk: str) -> str:
+        return ",".join([self.known_pieces[piece] for piece in self.pieces(chunk)])
 
-    def parts(self, text: str) -> list[tuple[str, int, bytes]]:
-        """Of each part of a text: its ids joined by commas, their number, and the decoded bytes.
+    def joined(self, text: str) -> str:
+        """The ids of a text, joined by commas.
 
         Where every space is followed by something visible, no piece of the
         pattern crosses the place before a space, so such texts are looked up
         by the stretch from one space to the next.
         """
         runs = self.split_special.split(text) if self.split_special else [text]
-        found: list[tuple[str, int, bytes]] = []
+        found: list[str] = []
         for run in runs:
             if run in self.special:
-                number = self.special[run]
-                found.append((str(number), 1, self.strings[number]))
+                found.append(str(self.special[run]))
             elif run and self.space_before_blank(run):
                 found += map(self.known_pieces.__getitem__, self.pieces(run))
             elif run:
@@ -156,10 +157,10 @@ class Codec:
                 if first:
                     found.append(self.known_chunks[first])
                 found += map(self.known_chunks.__getitem__, [" " + x for x in rest])
-        return found
+        return ",".join(found)
 
     def encode(self, text: str) -> np.ndarray:
-        return np.fromstring(",".join([part[0] for part in self.parts(text)]), np.int32, sep=",") if text else np.zeros(0, np.int32)
+        return _numbers(self.joined(text))
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
@@ -230,10 +231,11 @@ def encoding_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
         for batch in batches:
             counts, digests, decoded = [], [], []
             for text in batch.column(1):
-                ids, numbers, back = zip(*codec.parts(text.as_py())) if text.as_py() else ((), (), ())
-                counts.append(sum(numbers))
-                digests.append(sha256(",".join(ids).encode()).hexdigest())
-                decoded.append(sha256(b"".join(back).decode("utf-8", "replace").encode()).hexdigest())
+                joined = codec.joined(text.as_py())
+                ids = _numbers(joined)
+                counts.append(len(ids))
+                digests.append(sha256(joined.encode()).hexdigest())
+                decoded.append(sha256(codec.decode(ids.tolist()).encode()).hexdigest())
             arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -42,7 +42,7 @@ FAN_IN = 64
 TRAIN_ROWS = 20_000
 HIDDEN = 32
 SEED = 20_24
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 # letters (with all bytes of other scripts) or runs of other visible bytes
 TOKENS = re.compile(rb"[0-9A-Za-z_\x80-\xff]+|[^\s0-9A-Za-z_\x80-\xff]+").findall
 
@@ -185,12 +185,7 @@ def document_features(docs: DataFrame, vectors: np.ndarray, keep: tuple[str, ...
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = TokenRows()
         for batch in batches:
-            found: list[bytes] = []
-            for tokens, lengths in _token_chunks((x.as_py() for x in batch.column(len(keep))), rows):
-                for low, high in _spans(lengths):
-                    first = int(lengths[:low].sum())
-                    part = tokens[first : first + int(lengths[low:high].sum())]
-                    found += [row.astype("<f4").tobytes() for row in pooled(part, lengths[low:high], shared.value)]
+            found = [row.astype("<f4").tobytes() for x in _pooled_texts(batch.column(len(keep)), shared.value, rows) for row in x]
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(found, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, features])
 
@@ -198,6 +193,14 @@ def document_features(docs: DataFrame, vectors: np.ndarray, keep: tuple[str, ...
     return picked.mapInArrow(compute, f"{kept}{features} binary").withColumnRenamed(features, "features")
 
 
+def _pooled_texts(texts: pa.Array, vectors: np.ndarray, rows: TokenRows) -> Iterator[np.ndarray]:
+    """The feature rows of all texts, in order, a bounded number of tokens at a time."""
+    for tokens, lengths in _token_chunks((x.as_py() or b"" for x in texts), rows):
+        for low, high in _spans(lengths):
+            first = int(lengths[:low].sum())
+            yield pooled(tokens[first : first + int(lengths[low:high].sum())], lengths[low:high], vectors)
+
+
 def _spans(lengths: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[int, int]]:
     """Ranges of texts with at most ``most`` tokens together, or one text."""
     low = total = 0
@@ -284,18 +287,20 @@ def remainder(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3))
 
 
-def fit(features: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS) -> Network:
-    """A network from at most ``train_rows`` labelled rows outside the held-out third."""
+def training_labels(labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """``doc_id`` and ``label`` of at most ``train_rows`` labelled ids outside the held-out third."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (remainder() != 1))
     known = known.groupBy("doc_id").agg(F.min(label).alias("label"))
-    # the bound is on ids first, so that only their features are joined and sent
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    rows = features.join(chosen, "doc_id").select("doc_id", "features", "label")
-    rows = rows.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).collect()
-    if not rows:
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+
+
+def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Network:
+    """A network from rows of ``doc_id``, ``features`` and ``label``; of repeated ids one row is used."""
+    chosen = rows.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).collect()
+    if not chosen:
         return _constant(FEATURES, 0.5)
-    x = np.stack([np.frombuffer(row.features, "<f4") for row in rows]).astype(float)
-    return train(x, np.array([float(row.label) for row in rows]))
+    x = np.stack([np.frombuffer(row.features, "<f4") for row in chosen]).astype(float)
+    return train(x, np.array([float(row.label) for row in chosen]))
 
 
 def score_features(features: DataFrame, network: Network, keep: tuple[str, ...]) -> DataFrame:
@@ -317,7 +322,8 @@ def score_features(features: DataFrame, network: Network, keep: tuple[str, ...])
 def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``score`` and ``predicted``."""
     features = save_and_reload(document_features(docs, word_vectors(docs), ("doc_id",)), "features")
-    scored = score_features(features, fit(features, labels, train_rows=train_rows), ("doc_id",))
+    network = fit(features.join(training_labels(labels, train_rows=train_rows), "doc_id"), train_rows)
+    scored = score_features(features, network, ("doc_id",))
     return scored.select(
         "doc_id",
         F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"),
@@ -329,11 +335,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_R
 def keep_good_quality(docs: DataFrame, labels: DataFrame, least: float = 0.5, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs`` that score at least ``least``, with their columns.
 
-    Scores are made where the text is, in the row's own task.
+    Scores are made where the row is, so no join brings them together.
     """
     vectors = word_vectors(docs)
-    network = fit(document_features(docs, vectors, ("doc_id",)), labels, train_rows=train_rows)
-    (row,) = fresh("row")
-    packed = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias(row), "text")
-    features = document_features(packed, vectors, (row,))
-    return score_features(features, network, (row,)).where(F.col("score") >= least).select(f"{row}.*")
+    # at most train_rows ids: that bound allows the broadcast, and only their texts are pooled here
+    chosen = docs.select("doc_id", "text").join(F.broadcast(training_labels(labels, train_rows=train_rows)), "doc_id")
+    network = fit(document_features(chosen, vectors, ("doc_id", "label")), train_rows)
+    shared = docs.sparkSession.sparkContext.broadcast((vectors, network))
+    text = docs.columns.index("text")
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = TokenRows()
+        table, model = shared.value
+        for batch in batches:
+            scores = [model.probability(x.astype(float)) for x in _pooled_texts(batch.column(text).cast(pa.binary()), table, rows)]
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0), *scores]) >= least))
+
+    return docs.mapInArrow(compute, docs.schema)

@@ -18,7 +18,6 @@ through untouched; an empty table gives none.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -155,20 +154,20 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(arrays, names=["lang", "item", "n"])
 
     seen: dict[str, Counter] = {}
+    held = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text, counter = text.as_py(), seen.setdefault(lang or EVERY, Counter())
+            held -= len(counter)
             counter.update(text.split())
             for number, n in enumerate((byte_counts(text) @ IN_CLASS).tolist()):
                 if n:
                     counter[b"\x00%d" % number] += n
-            if len(counter) > FLUSH:
-                yield rows(lang or EVERY, seen.pop(lang or EVERY))
-        if len(seen) > 50:
-            for lang in list(seen):
-                yield rows(lang, seen.pop(lang))
-    for lang, counter in seen.items():
-        yield rows(lang, counter)
+            held += len(counter)
+            if held > FLUSH:
+                yield from (rows(*one) for one in seen.items())
+                seen, held = {}, 0
+    yield from (rows(*one) for one in seen.items())
 
 
 def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> dict[str, Reference]:
@@ -256,26 +255,21 @@ def judge_documents(docs: DataFrame, limits: RuleLimits = RuleLimits(), keep: tu
 def keep_good_documents(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFrame:
     """The rows of ``docs`` whose text the rules keep, unchanged.
 
-    The verdict is made on a copy of the text that rides along with the row, so
-    no join brings them together.
+    The verdict is made where the row is, so no join brings them together.
     """
     spark = docs.sparkSession
     references = spark.sparkContext.broadcast(language_references(docs, limits))
-    lang, text, kept = fresh("lang", "text", "kept")
-    picked = docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
-        column_or_null(docs, "lang", "string").alias(lang),
-        text_bytes().alias(text),
-    )
+    text = docs.columns.index("text")
+    lang = docs.columns.index("lang") if "lang" in docs.columns else None
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_lang = references.value
         for batch in batches:
+            codes = [None] * batch.num_rows if lang is None else batch.column(lang).to_pylist()
             verdicts = []
-            for code, value in zip(batch.column(1).to_pylist(), batch.column(2)):
+            for code, value in zip(codes, batch.column(text).cast(pa.binary())):
                 reference = by_lang.get(code or EVERY, by_lang.get(EVERY))
-                verdicts.append(judge(value.as_py(), reference, limits)[-1])
-            chosen = batch.select([0]).filter(pa.array(verdicts, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([chosen.column(0)], names=["row"])
+                verdicts.append(judge(value.as_py() or b"", reference, limits)[-1])
+            yield batch.filter(pa.array(verdicts, pa.bool_()))
 
-    return picked.mapInArrow(compute, picked.select("row").schema).select("row.*")
+    return docs.mapInArrow(compute, docs.schema)
