@@ -36,8 +36,8 @@ from tallywatch.llm.common import WORD, text_bytes
 
 ORDER = 2
 ALPHA = 0.4
-GROUP_DOCS = 1_000
-GROUPS_PER_SHARE = 4
+GROUP_DOCS = 2_000
+GROUPS_PER_SHARE = 2
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,6 +92,18 @@ def _unpacked(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, "u1" if len(raw) == n else "<u4").astype(np.int64)
 
 
+def pack_sorted(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as steps, byte by byte: the leading bytes of small steps are runs of zeros."""
+    steps = np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
+    steps[:1] = hashes[:1]
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack_sorted(packed: bytes) -> np.ndarray:
+    steps = np.frombuffer(packed, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 def log_scores(grams: list[np.ndarray], distinct: np.ndarray, totals: np.ndarray, n_words: int, alpha: float) -> float:
     """The sum of the log scores of one text's words; ``totals`` are the corpus' counts of ``distinct``."""
     words = len(grams[0])
@@ -135,7 +147,7 @@ def stupid_backoff(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, gr
         bounds = share_bounds(distinct, shares)
         asked, numbers = [], []
         for low, high in zip(bounds, bounds[1:]):
-            asked.append(distinct[low:high].astype("<u8").tobytes())
+            asked.append(pack_sorted(distinct[low:high]))
             numbers.append(_packed(counts[low:high]))
         n = len(asked)
         return pa.table(
@@ -148,7 +160,7 @@ def stupid_backoff(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, gr
         ).filter(pa.array([bool(x) for x in asked]))
 
     def answer(part: pa.Table) -> pa.Table:
-        grams = [np.frombuffer(x.as_py(), "<u8") for x in part.column("grams")]
+        grams = [unpack_sorted(x.as_py()) for x in part.column("grams")]
         counts = [_unpacked(x.as_py(), len(g)) for x, g in zip(part.column("counts"), grams)]
         distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
         totals = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
