@@ -251,11 +251,21 @@ features AS (
 )
 """
 
-# Order of the model's inputs.
+# Order of the model's inputs: fixed values.
 MODEL = (
-    "amount txn_count_1h total_amount_1h avg_amount_1h stddev_amount_1h max_amount_1h country_count_1h "
-    "zscore_amount hour_of_day is_weekend is_high_risk_merchant_int is_card_not_present"
-).split()
+    "amount",
+    "txn_count_1h",
+    "total_amount_1h",
+    "avg_amount_1h",
+    "stddev_amount_1h",
+    "max_amount_1h",
+    "country_count_1h",
+    "zscore_amount",
+    "hour_of_day",
+    "is_weekend",
+    "is_high_risk_merchant_int",
+    "is_card_not_present",
+)
 SCALER = " UNION ALL ".join(
     f"""SELECT {i}::INT AS position, '{name}' AS feature, avg(coalesce({name}, 0)::DOUBLE) AS mean,
         CASE WHEN stddev_pop(coalesce({name}, 0)::DOUBLE) > 0

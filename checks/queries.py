@@ -107,7 +107,8 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = read_table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # the pattern finds the table whether it is one file or a folder of part files
+    return spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
 
 
 def windows(spark: SparkSession, sf: str) -> DataFrame:

@@ -292,6 +292,8 @@ def train_isolation_forest(
     ``vectors`` is read several times: pass a stored table, not a long plan.
     The limit is the exact quantile of the training scores.
     """
+    if vectors.limit(1).count() == 0:
+        raise ValueError("no rows to train the forest on")
     scaler = save_and_reload(fit_scaler(vectors, column=column), "scaler")
     scaled = apply_scaler(vectors, scaler, column, "_scaled").select(identity, "_scaled")
     sampled, size = draw_samples(scaled, identity, "_scaled", cfg)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,7 +70,10 @@ def replay_fallback(spark: SparkSession, fallback_path: str, scores_path: str) -
     if first is None:
         return
     held = read_scores(spark, scores_path).filter(F.col(DATE_COLUMN).between(first, last))
-    missing = kept.join(held.select(*SCORE_KEY), list(SCORE_KEY), "left_anti")
+    # null-safe: rows without user are held under a null key too
+    renamed = held.select(*[F.col(name).alias(f"held_{name}") for name in SCORE_KEY])
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"held_{name}")) for name in SCORE_KEY])
+    missing = kept.join(renamed, same, "left_anti")
     (
         missing.withColumn(BATCH_COLUMN, -1 - F.col(BATCH_COLUMN))
         .write.partitionBy(DATE_COLUMN, BATCH_COLUMN)

@@ -287,9 +287,11 @@ def trailing_stream_features(transactions: DataFrame, watermark: str = "10 minut
 
     Values reflect what has arrived: a late row is measured against its own
     past, and rows already emitted are not revised. ``country_count_1h`` counts
-    the countries of the calendar day so far.
+    the countries of the calendar day so far. Rows without event time have no
+    past and are left to the dead-letter split.
     """
-    rows = transactions.withWatermark("event_time", watermark).select(
+    timed = transactions.where(F.col("event_time").isNotNull())
+    rows = timed.withWatermark("event_time", watermark).select(
         "user_id",
         "transaction_id",
         "event_time",
