@@ -510,7 +510,7 @@ def stream_window_features(spark: SparkSession, sf: str) -> DataFrame:
     writer = with_fallback(score_writer(f"{path}/scores"), f"{path}/fallback")
     with stream_settings(spark):
         start_detection(stream, writer, f"{path}/checkpoint", CONFIG, available_now=True).awaitTermination()
-    rows = read_scores(spark, f"{path}/scores").drop("processed_at", "processed_date", "batch_id")
+    rows = read_scores(spark, f"{path}/scores").drop("processed_at", "processed_date", "run_id", "batch_id")
     return settle(rows, *WINDOW_SUMS, "zscore_amount", "fraud_score")
 
 
@@ -534,7 +534,7 @@ def stream_transaction_features(spark: SparkSession, sf: str) -> DataFrame:
         ).awaitTermination()
     rows = spark.read.parquet(f"{path}/rows")
     return settle(
-        rows.drop("batch_id", "event_time", "merchant_country", "card_present", "is_high_risk_merchant"),
+        rows.drop("run_id", "batch_id", "event_time", "merchant_country", "card_present", "is_high_risk_merchant"),
         *HOUR_SUMS,
         "burst_amount",
         "zscore_amount",

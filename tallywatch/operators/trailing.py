@@ -11,6 +11,8 @@ all rows is spread over as many tasks as it has blocks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,7 +57,8 @@ def trailing_stats(
     keys = list(keys)
 
     own = rows.withColumn("_pos", position).withColumn("_block", block_index(F.col("_pos"), block))
-    # Copies carry the value only; making them here reads the input once.
+    # Copies carry the value only; making them here joins nothing; more
+    # than one block a frame reads the input again for the block summaries.
     carried = [c for c in rows.columns if c not in keys]
     both = own.withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumns(
         {
@@ -116,7 +119,15 @@ def trailing_stats(
         results["stddev"] = sample_stddev(count, merged_deviation(parts))
     kept = [F.col(c) for c in rows.columns]
     extra = [F.col(place[0])] if place else []
-    return measured.select(*kept, *extra, *[results[stat].alias(out) for stat, out in names.items()])
+    return measured.select(*kept, *extra, *[_if_keyed(keys, results[stat]).alias(out) for stat, out in names.items()])
+
+
+def _if_keyed(keys: Sequence[str], value: Column) -> Column:
+    """``value``, or null for rows without a key: they belong to nobody's history.
+
+    All frames apply it, so the answer does not depend on how blocks are cut.
+    """
+    return F.when(reduce(and_, [F.col(key).isNotNull() for key in keys]), value)
 
 
 def _middle_blocks(own: DataFrame, keys: list[str], value: str, span: int, deviation: bool) -> DataFrame:
@@ -171,7 +182,7 @@ def row_positions(
         earlier = rows_in_earlier_blocks(counts, keys, "_block", "_rows")
         placed = placed.join(counts.select(*keys, "_block", earlier.alias("_earlier")), [*keys, "_block"], "left")
     inside = Window.partitionBy(*keys, "_block").orderBy("_pos", tie_break)
-    return placed.withColumn(out, F.row_number().over(inside) - 1 + F.col("_earlier")).select(*rows.columns, out)
+    return placed.withColumn(out, _if_keyed(keys, F.row_number().over(inside) - 1 + F.col("_earlier"))).select(*rows.columns, out)
 
 
 def previous_values(
@@ -202,7 +213,7 @@ def previous_values(
         .withColumn("_is_first", F.row_number().over(inside) == 1)
         .join(carried, [*keys, "_block"], "left")
         .withColumn("_previous", F.when(F.col("_is_first"), F.col("_carried")).otherwise(F.col("_previous")))
-        .select(*rows.columns, *[F.col(f"_previous.{c}").alias(out) for c, out in columns.items()])
+        .select(*rows.columns, *[_if_keyed(keys, F.col(f"_previous.{c}")).alias(out) for c, out in columns.items()])
     )
 
 
@@ -282,7 +293,7 @@ def trailing_distinct(
     return (
         placed.withColumn("_own", F.lit(True))
         .unionByName(events, allowMissingColumns=True)
-        .withColumn(out, F.coalesce(F.sum("_step").over(until_here), F.lit(0)))
+        .withColumn(out, _if_keyed(keys, F.coalesce(F.sum("_step").over(until_here), F.lit(0))))
         .filter("_own")
         .select(*rows.columns, out)
     )

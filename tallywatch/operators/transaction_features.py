@@ -63,12 +63,13 @@ def trailing_hour_features(transactions: DataFrame, place: tuple[str, int] | Non
     """Count, sum, mean, spread and maximum over the user's last hour.
 
     The hour is open on the left and includes the row's own time; a single
-    transaction has spread 0.
+    transaction has spread 0. Rows without user have no values.
     """
     measured = trailing_stats(
         transactions, ["user_id"], _event_micros(), micros_of("1 hour"), "amount", TRAILING_HOUR, place=place
     )
-    return measured.fillna(0.0, subset=["stddev_amount_1h"])
+    spread = F.coalesce("stddev_amount_1h", F.lit(0.0))
+    return measured.withColumn("stddev_amount_1h", F.when(F.col("user_id").isNotNull(), spread))
 
 
 def trailing_count(transactions: DataFrame, frame: str = "24 hours", out: str = "txn_count_24h") -> DataFrame:

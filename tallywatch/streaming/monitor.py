@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+from collections import deque
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -72,16 +73,28 @@ class ProgressLog(StreamingQueryListener):
 
     def __init__(self, keep: int = 1000):
         self.keep = keep
-        self.rows: list[tuple] = []
-        self.offsets: list[tuple] = []
+        self._rows: dict[str, deque[tuple]] = {}
+        self._offsets: dict[str, list[tuple]] = {}
         self.failed: list[tuple[str, str]] = []
 
     def onQueryStarted(self, event) -> None:
         log.info("query %s started", event.id)
 
     def onQueryProgress(self, event) -> None:
-        self.rows = [*self.rows, progress_row(event.progress)][-self.keep :]
-        self.offsets = offset_rows(event.progress) or self.offsets
+        query = str(event.progress.id)
+        self._rows.setdefault(query, deque(maxlen=self.keep)).append(progress_row(event.progress))
+        found = offset_rows(event.progress)
+        if found:
+            self._offsets[query] = found
+
+    @property
+    def rows(self) -> list[tuple]:
+        return [row for reports in list(self._rows.values()) for row in list(reports)]
+
+    @property
+    def offsets(self) -> list[tuple]:
+        """The latest offsets of every query."""
+        return [row for latest in list(self._offsets.values()) for row in latest]
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -14,6 +14,8 @@ from tallywatch.operators.scoring import as_score_table
 from tallywatch.sources.score_store import (
     BATCH_COLUMN,
     DATE_COLUMN,
+    NO_RUN,
+    RUN_COLUMN,
     SCORE_KEY,
     STORED_SCHEMA,
     read_scores,
@@ -33,8 +35,13 @@ def table_writer(fmt: str, options: dict[str, str]) -> BatchWriter:
     return write
 
 
+def run_of(batch: DataFrame) -> str:
+    """The id that a stream keeps in its checkpoint, across restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or NO_RUN
+
+
 def score_writer(path: str) -> BatchWriter:
-    return lambda batch, batch_id: write_scores(batch, path, batch_id)
+    return lambda batch, batch_id: write_scores(batch, path, batch_id, run_of(batch))
 
 
 def with_fallback(writer: BatchWriter, fallback_path: str) -> BatchWriter:
@@ -51,7 +58,7 @@ def with_fallback(writer: BatchWriter, fallback_path: str) -> BatchWriter:
                 writer(batch, batch_id)
             except Exception:
                 log.exception("batch %s kept for replay", batch_id)
-                write_scores(batch, fallback_path, batch_id)
+                write_scores(batch, fallback_path, batch_id, run_of(batch))
         finally:
             batch.unpersist()
 
@@ -76,16 +83,16 @@ def replay_fallback(spark: SparkSession, fallback_path: str, scores_path: str) -
     missing = kept.join(renamed, same, "left_anti")
     (
         missing.withColumn(BATCH_COLUMN, -1 - F.col(BATCH_COLUMN))
-        .write.partitionBy(DATE_COLUMN, BATCH_COLUMN)
+        .write.partitionBy(DATE_COLUMN, RUN_COLUMN, BATCH_COLUMN)
         .mode("append")
         .parquet(scores_path)
     )
 
 
 def batch_folder_writer(path: str) -> BatchWriter:
-    """Writes rows as they are, one folder per batch, rewritten on retry."""
+    """Writes rows as they are, one folder per run and batch, rewritten on retry."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH_COLUMN}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{RUN_COLUMN}={run_of(batch)}/{BATCH_COLUMN}={batch_id}")
 
     return write

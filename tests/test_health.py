@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -8,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallywatch.operators import health
-from tallywatch.streaming.monitor import OFFSET_SCHEMA, PROGRESS_SCHEMA, offset_rows, progress_row, stream_metrics
+from tallywatch.streaming.monitor import OFFSET_SCHEMA, PROGRESS_SCHEMA, ProgressLog, offset_rows, progress_row, stream_metrics
 
 
 def test_lag_ignores_missing_and_negative(spark):
@@ -88,3 +89,19 @@ def test_progress_to_metrics_and_lag(spark):
     assert metrics["late_rows_dropped"] == 3.0 and metrics["batch_ms"] == 2000.0
     offsets = spark.createDataFrame(offset_rows(report(1)), OFFSET_SCHEMA)
     assert health.offset_lag(offsets).first()["lag"] == 4
+
+
+def test_reports_of_two_queries_do_not_displace_each_other():
+    def report(query, batch):
+        ends = json.dumps({query: {"0": batch}})
+        source = SimpleNamespace(endOffset=ends, latestOffset=ends)
+        progress = SimpleNamespace(
+            id=query, name=None, batchId=batch, numInputRows=1, processedRowsPerSecond=1.0, durationMs={}, stateOperators=[], sources=[source]
+        )
+        return SimpleNamespace(progress=progress)
+
+    kept = ProgressLog(keep=2)
+    for event in [report("quiet", 0), *[report("busy", batch) for batch in range(5)]]:
+        kept.onQueryProgress(event)
+    assert [row[:2] for row in kept.rows] == [("quiet", 0), ("busy", 3), ("busy", 4)]
+    assert kept.offsets == [("quiet", "quiet", 0, 0, 0), ("busy", "busy", 0, 4, 4)]

@@ -58,7 +58,7 @@ def some_bodies(first, count, begin, span, seed=0):
 
 
 def stored(spark, path):
-    rows = read_scores(spark, str(path)).drop("processed_at", "processed_date", "batch_id").toPandas()
+    rows = read_scores(spark, str(path)).drop("processed_at", "processed_date", "run_id", "batch_id").toPandas()
     return rows.sort_values(["user_id", "window_start"]).reset_index(drop=True)
 
 
@@ -132,6 +132,17 @@ def test_fallback_and_replay_equal_a_direct_write(spark, tmp_path):
     assert len(stored(spark, other / "scores")) == len(direct)
 
 
+def test_two_streams_share_a_store(spark, tmp_path):
+    """Batch numbers of a second checkpoint start at 0 again and replace nothing."""
+    writer = score_writer(str(tmp_path / "scores"))
+    for name in ("first", "second"):
+        put(spark, tmp_path / name / "in", [body(0, name, 60), body(1, name, 40_000)])
+        run(spark, tmp_path / name, writer)
+    got = read_scores(spark, str(tmp_path / "scores"))
+    assert {r["user_id"] for r in got.collect()} == {"first", "second"}
+    assert got.select("run_id").distinct().count() == 2
+
+
 def test_any_installed_format_can_be_a_sink(spark, tmp_path):
     put(spark, tmp_path / "in", some_bodies(0, 60, 0, 14_400, 4))
     run(spark, tmp_path, table_writer("json", {"path": str(tmp_path / "json")}))

@@ -118,3 +118,19 @@ def test_quantiles_equal_numpy(spark, resolution):
     for key, values in rows.dropna(subset="x").groupby("k").x:
         for name, p in probabilities.items():
             assert got.loc[key, name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("block", [5, 10, 50])
+def test_rows_without_key_have_no_values(spark, block):
+    rows = spark.createDataFrame([(f"r{i}", None if i % 3 == 0 else "a", i * 7, 1.0, "c") for i in range(30)], SCHEMA)
+    stats = trailing_stats(rows, ["k"], F.col("t"), 50, "x", {"count": "n"}, block=block)
+    stats = row_positions(stats, ["k"], F.col("t"), "id", "p", block=block)
+    stats = previous_values(stats, ["k"], F.col("t"), block, "id", {"id": "before"})
+    stats = trailing_distinct(stats, ["k"], F.col("t"), 50, "c", "d", block=block)
+    got = stats.orderBy("t").collect()
+    assert len(got) == 30
+    keyed = [r for r in got if r["k"]]
+    assert all(r["n"] is r["p"] is r["before"] is r["d"] is None for r in got if not r["k"])
+    assert [r["n"] for r in keyed] == [sum(r["t"] - 50 < o["t"] <= r["t"] for o in keyed) for r in keyed]
+    assert [r["p"] for r in keyed] == list(range(20)) and all(r["d"] == 1 for r in keyed)
+    assert [r["before"] for r in keyed[1:]] == [r["id"] for r in keyed[:-1]]
