@@ -84,9 +84,10 @@ def _add_contexts(table: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, pl
     for step in range(1, REACH + 1):
         together = document[step:] == document[:-step]
         left, right = tokens[:-step][together], tokens[step:][together]
-        for here, there in ((left, right), (right, left)):
-            for k in range(NONZERO):
-                table += np.bincount(here * DIM + places[there, k], weights=signs[there, k], minlength=BUCKETS * DIM)
+        here, there = np.concatenate((left, right)), np.concatenate((right, left))
+        # one pass over the table for all entries of a step
+        spots = (here * DIM)[:, None] + places[there]
+        table += np.bincount(spots.ravel(), weights=signs[there].ravel(), minlength=BUCKETS * DIM)
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
