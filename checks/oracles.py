@@ -333,9 +333,15 @@ def replaced(columns: str, digits: int = 4) -> str:
 WINDOW_SUMS = "total_amount_1h avg_amount_1h stddev_amount_1h"
 FEED = f"WITH {VIEWS} SELECT {replaced('fraud_score avg_fraud_score total_amount_24h')} FROM feed"
 SCORED = replaced(f"{WINDOW_SUMS} zscore_amount fraud_score")
-KPI_METRICS = """
+RATED = """
+rated AS (
+  SELECT round(sum(is_fraud_suspected::INT) * 100.0::DOUBLE / nullif(count(*), 0), 2) AS fraud_rate_pct FROM recent
+)
+"""
+KPI_METRICS = f"""{RATED},
 metrics AS (
   SELECT 'critical_users' AS name, critical_users::DOUBLE AS value FROM kpi
+  UNION ALL SELECT 'fraud_rate_pct', fraud_rate_pct FROM rated
   UNION ALL SELECT 'avg_detection_latency_ms', avg_detection_latency_ms FROM kpi
 )
 """
@@ -361,7 +367,12 @@ DASHBOARD_RULES = """
 ('fraud_rate_pct', '>', 5::DOUBLE, 'warning'), ('critical_users', '>', 0::DOUBLE, 'critical'),
 ('avg_detection_latency_ms', '>', 2000::DOUBLE, 'warning')
 """
-MONITOR_RULES = "('kafka_lag', '>', 5000::DOUBLE, 'critical'), ('dlq_count', '>', 5::DOUBLE, 'critical')"
+MONITOR_RULES = """
+('kafka_lag', '>', 5000::DOUBLE, 'critical'), ('dlq_count', '>', 5::DOUBLE, 'critical'),
+('avg_detection_latency_ms', '>', 2000::DOUBLE, 'warning'),
+('fraud_rate', '<', 0.001::DOUBLE, 'warning'), ('fraud_rate', '>', 0.2::DOUBLE, 'warning')
+"""
+REJECTED_TODAY = """error IS NOT NULL AND event_time > (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
 
 ORACLES: dict[str, str] = {
     "parse_valid": f"""
@@ -517,9 +528,10 @@ WITH {VIEWS} SELECT minute_bucket, fraud_count, fraud_rate_pct FROM summary ORDE
     "high_score_alerts": f"""
 WITH {VIEWS} SELECT user_id, window_start, alert_type FROM alerts WHERE fraud_score > 0.8::DOUBLE""",
     "kpi_cards": f"""
-WITH {VIEWS}
-SELECT fraud_alerts_1h, {settled('at_risk_usd_1h')} AS at_risk_usd_1h, avg_detection_latency_ms, critical_users
-FROM kpi""",
+WITH {VIEWS}, {RATED}
+SELECT fraud_alerts_1h, {settled('at_risk_usd_1h')} AS at_risk_usd_1h, avg_detection_latency_ms, critical_users,
+       fraud_rate_pct
+FROM kpi, rated""",
     "detection_metrics": f"""
 WITH judged AS (
   SELECT value > 150 AS p, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) >= 97 AS a FROM events
@@ -554,12 +566,16 @@ WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= (SELECT max(o_orderdate) F
     "monitor_report": f"""
 WITH {BODIES}, {OFFSETS}
 SELECT (SELECT max(ts) FROM events) AS report_time, (SELECT lag FROM lag) AS kafka_lag,
-       (SELECT count(*) FROM bodies WHERE error IS NOT NULL) AS dlq_count""",
+       (SELECT count(*) FROM bodies WHERE {REJECTED_TODAY}) AS dlq_count""",
     "monitor_alerts": f"""
 WITH {BODIES}, {OFFSETS},
 metrics AS (
   SELECT 'kafka_lag' AS name, lag::DOUBLE AS value FROM lag
-  UNION ALL SELECT 'dlq_count', count(*)::DOUBLE FROM bodies WHERE error IS NOT NULL
+  UNION ALL SELECT 'dlq_count', count(*)::DOUBLE FROM bodies WHERE {REJECTED_TODAY}
+  UNION ALL SELECT * FROM (
+    WITH {VIEWS}, {RATED}
+    SELECT 'fraud_rate', fraud_rate_pct / 100 FROM rated UNION ALL SELECT 'avg_detection_latency_ms', avg_detection_latency_ms FROM kpi
+  )
 )
 {alert_select('metrics', MONITOR_RULES)}""",
     "scaler_fit": f"WITH {PER_TX}, scaler AS ({SCALER}) SELECT {replaced('mean scale')} FROM scaler",

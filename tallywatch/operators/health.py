@@ -136,12 +136,34 @@ def evaluate_thresholds(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def health_report(lag: DataFrame, rejected: DataFrame, at: Column | None = None) -> DataFrame:
-    """One row: report time, summed lag, and rejected messages."""
-    both = lag.select(F.col("lag"), F.lit(0).alias("_rejected")).unionByName(
-        rejected.select(F.lit(0).cast("long").alias("lag"), F.lit(1).alias("_rejected"))
+def health_report(
+    lag: DataFrame,
+    tagged: DataFrame,
+    at: Column | None = None,
+    interval_sec: float = HealthConfig.check_interval_sec,
+    group: str | None = None,
+) -> DataFrame:
+    """One row: report time, lag, and messages rejected in the last check interval.
+
+    ``tagged`` are messages with ``kafka_timestamp`` and ``error``. With
+    ``group`` only that group's lag counts. A lag nobody reported is -1, which
+    is not the same as being up to date.
+    """
+    at = F.current_timestamp() if at is None else at
+    since = at - F.make_dt_interval(secs=F.lit(interval_sec))
+    stamp = F.col("kafka_timestamp")
+    rejected = tagged.filter(F.col("error").isNotNull() & (stamp > since) & (stamp <= at))
+    mine = lag if group is None else lag.filter(F.col("group") == group)
+    both = mine.select("lag", F.lit(0).alias("_rejected")).unionByName(
+        rejected.select(F.lit(None).cast("long").alias("lag"), F.lit(1).alias("_rejected"))
     )
     return both.agg(
-        F.coalesce(F.sum("lag"), F.lit(0)).alias("kafka_lag"),
+        F.coalesce(F.sum("lag"), F.lit(-1)).alias("kafka_lag"),
         F.coalesce(F.sum("_rejected"), F.lit(0)).alias("dlq_count"),
-    ).select((F.current_timestamp() if at is None else at).alias("report_time"), "kafka_lag", "dlq_count")
+    ).select(at.alias("report_time"), "kafka_lag", "dlq_count")
+
+
+def fraud_rate_metrics(kpi: DataFrame) -> DataFrame:
+    """The health checks' ``fraud_rate`` (a share) and mean latency, from a KPI row with its rate."""
+    shares = kpi.select((F.col("fraud_rate_pct") / 100).alias("fraud_rate"), "avg_detection_latency_ms")
+    return unpivot_metrics(shares)

@@ -21,9 +21,11 @@ from tallywatch.session import save_and_reload
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EULER_GAMMA = 0.5772156649015329
-MAX_BUCKETS = 1 << 20
-ROWS_PER_BUCKET = 64
-BROADCAST_DRAWS = 1_000_000
+# Bits of the row hash that one level of draws looks at, and the rows a drawn bucket may hold before they are ranked.
+LEVEL_BITS = 10
+RANKED_ROWS = 4096
+# Bounds the draws of a forest, hence its nodes and what is broadcast.
+MAX_DRAWS = 1 << 20
 
 NODE_SCHEMA = T.StructType(
     [
@@ -89,9 +91,9 @@ def apply_scaler(vectors: DataFrame, scaler: DataFrame, column: str = "features"
 # -- drawing the training samples ----------------------------------------------
 
 
-def _last_start(starts: DataFrame, draws: DataFrame, within: list[str]) -> DataFrame:
+def _last_start(starts: DataFrame, draws: DataFrame, within: str) -> DataFrame:
     """Gives every draw the ``_at`` of the last start not above its rank."""
-    by_rank = Window.partitionBy(*within).orderBy("_rank", F.col("tree_id").asc_nulls_first())
+    by_rank = Window.partitionBy(within).orderBy("_rank", F.col("tree_id").asc_nulls_first())
     seen = by_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         starts.unionByName(draws, allowMissingColumns=True)
@@ -100,60 +102,74 @@ def _last_start(starts: DataFrame, draws: DataFrame, within: list[str]) -> DataF
     )
 
 
+def _prefix(bits: int) -> Column:
+    """The leading bits of the row hash, with its sign so that they sort as it does."""
+    return F.shiftright("_h", 64 - bits) if bits else F.lit(0).cast("long")
+
+
 def draw_samples(rows: DataFrame, identity: str, vector: str, cfg: ForestConfig) -> tuple[DataFrame, int]:
     """``trees * sample_size`` rows drawn with replacement, and the draw size.
 
-    Rows are ordered by a hash of their id and drawn by rank. Counts per hash
-    bucket turn a rank into a bucket and an offset, so only the buckets that
-    were drawn from are ranked; the rest of the table is counted, not moved.
-    Copies of a row are ranked as one entry with a count.
+    Rows are ordered by a hash of their id and drawn by rank. Each level
+    counts the rows below the drawn hash prefixes by ``LEVEL_BITS`` further
+    bits, which turns a rank into a longer prefix and a rank inside it. Levels
+    follow until no drawn prefix holds more than ``RANKED_ROWS`` rows; only
+    those rows are ranked, the rest of the table is counted, not moved. The
+    order, and so what is drawn, does not depend on the number of levels.
+    Copies of a row are ranked as one entry with a count; different rows that
+    share an id cannot be told apart by further bits and are ranked together.
     """
+    if cfg.trees * cfg.sample_size > MAX_DRAWS:
+        raise ValueError(f"trees * sample_size may be {MAX_DRAWS} at most")
     spark = rows.sparkSession
     total = rows.count()
     size = min(cfg.sample_size, total)
-    buckets = int(min(MAX_BUCKETS, max(1, total // ROWS_PER_BUCKET)))
     hashed = rows.select(
         F.col(identity).alias("_id"),
         F.col(vector).alias("_x"),
         F.xxhash64(F.lit(cfg.seed), F.col(identity)).alias("_h"),
-    ).withColumn("_bucket", F.pmod(F.col("_h"), F.lit(buckets)))
-
-    draws = spark.range(cfg.trees * size).select(
+    )
+    located = spark.range(cfg.trees * size).select(
         (F.col("id") / size).cast("int").alias("tree_id"),
+        F.lit(0).cast("long").alias("_bucket"),
         F.pmod(F.xxhash64(F.lit(cfg.seed), F.lit("draw"), F.col("id")), F.lit(total)).alias("_rank"),
     )
-    # One task sees at most MAX_BUCKETS counts and the draws, never the rows.
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bucket_starts = (
-        hashed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_rank", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .select("_rank", F.struct("_bucket", "_rank").alias("_at"))
-    )
-    located = _last_start(bucket_starts, draws, []).select(
-        "tree_id", F.col("_at._bucket").alias("_bucket"), (F.col("_rank") - F.col("_at._rank")).alias("_rank")
-    )
+    bits, largest = 0, total
+    while largest > RANKED_ROWS and bits + LEVEL_BITS < 64:
+        # a window sees the 2^LEVEL_BITS counts below one prefix and the draws there, never rows
+        counts = (
+            _drawn_rows(hashed, located, bits)
+            .groupBy("_bucket", _prefix(bits + LEVEL_BITS).alias("_next"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+        )
+        earlier = Window.partitionBy("_bucket").orderBy("_next").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.withColumn("_rank", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).select(
+            "_bucket", "_rank", F.struct("_next", "_rank", "_n").alias("_at")
+        )
+        found = _last_start(starts, located, "_bucket").select(
+            "tree_id", F.col("_at._next").alias("_bucket"), (F.col("_rank") - F.col("_at._rank")).alias("_rank"), F.col("_at._n").alias("_n")
+        )
+        found = save_and_reload(found, "draws")
+        largest = found.agg(F.max("_n")).first()[0]
+        located, bits = found.drop("_n"), bits + LEVEL_BITS
 
-    drawn_from = located.select("_bucket").distinct()
-    if cfg.trees * size <= BROADCAST_DRAWS:
-        drawn_from = F.broadcast(drawn_from)
-    in_bucket = Window.partitionBy("_bucket").orderBy("_h", "_id", "_x")
+    in_bucket = Window.partitionBy("_bucket").orderBy("_h", "_id", "_x").rowsBetween(Window.unboundedPreceding, -1)
     row_starts = (
-        hashed.join(drawn_from, "_bucket", "left_semi")
+        _drawn_rows(hashed, located, bits)
         .groupBy("_bucket", "_h", "_id", "_x")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_bucket",
-            F.coalesce(
-                F.sum("_n").over(in_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_rank"),
-            F.struct("_id", "_x").alias("_at"),
-        )
+        .select("_bucket", F.coalesce(F.sum("_n").over(in_bucket), F.lit(0)).alias("_rank"), F.struct("_id", "_x").alias("_at"))
     )
-    sampled = _last_start(row_starts, located, ["_bucket"])
+    sampled = _last_start(row_starts, located, "_bucket")
     return sampled.select("tree_id", F.col("_at._id").alias("id"), F.col("_at._x").alias("x")), size
 
 
+def _drawn_rows(hashed: DataFrame, located: DataFrame, bits: int) -> DataFrame:
+    """The rows below the drawn prefixes; there are at most ``MAX_DRAWS`` of those, so they are broadcast."""
+    drawn = F.broadcast(located.select("_bucket").distinct())
+    return hashed.withColumn("_bucket", _prefix(bits)).join(drawn, "_bucket", "left_semi")
+
+
 # -- growing -------------------------------------------------------------------
 
 

@@ -63,7 +63,8 @@ def volume_against_flags(profile: DataFrame) -> DataFrame:
 
 
 def kpi_cards(kpi: DataFrame) -> DataFrame:
-    return kpi.select("fraud_alerts_1h", "at_risk_usd_1h", "avg_detection_latency_ms", "critical_users")
+    """The five cards; ``kpi`` is a KPI row with its fraud rate."""
+    return kpi.select("fraud_alerts_1h", "at_risk_usd_1h", "avg_detection_latency_ms", "critical_users", "fraud_rate_pct")
 
 
 def fraud_trend(summary: DataFrame) -> DataFrame:

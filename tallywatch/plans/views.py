@@ -102,11 +102,12 @@ def fraud_alerts(
 
 
 def dashboard_kpi(
-    scores: DataFrame, as_of: Column | None = None, lookback: str = ViewConfig.kpi_lookback
+    scores: DataFrame, as_of: Column | None = None, lookback: str = ViewConfig.kpi_lookback, with_rate: bool = False
 ) -> DataFrame:
     """One row of totals over the lookback, also when it holds no rows.
 
-    Latency is measured from the start of the window.
+    Latency is measured from the start of the window. ``with_rate`` adds
+    ``fraud_rate_pct``, suspected windows per hundred.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     suspected = F.col("is_fraud_suspected")
@@ -123,6 +124,7 @@ def dashboard_kpi(
             F.count_distinct(F.when(is_critical(F.col("fraud_score")), F.col("user_id"))).alias(
                 "critical_users"
             ),
+            *([safe_percentage(count_where(suspected), F.count(F.lit(1))).alias("fraud_rate_pct")] if with_rate else []),
         )
         .select(as_of.alias("refreshed_at"), "*")
     )

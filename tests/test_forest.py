@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywatch.config import ForestConfig
+from tallywatch.operators import isolation_forest
 from tallywatch.operators.isolation_forest import (
     IsolationForest,
     apply_scaler,
@@ -75,6 +76,24 @@ def test_draws_do_not_depend_on_partitioning(spark, vectors):
     assert counts.std() == pytest.approx(np.sqrt(15.36), rel=0.2)
 
 
+def test_draws_do_not_depend_on_the_levels(spark, vectors, monkeypatch):
+    """However few rows a drawn prefix may hold, the same rows are drawn."""
+    few = ForestConfig(trees=3)
+
+    def drawn():
+        return sorted(tuple(r) for r in draw_samples(vectors, "id", "features", few)[0].select("tree_id", "id").collect())
+
+    by_one_level = drawn()
+    monkeypatch.setattr(isolation_forest, "RANKED_ROWS", 4)
+    monkeypatch.setattr(isolation_forest, "LEVEL_BITS", 3)
+    assert drawn() == by_one_level
+
+
+def test_number_of_draws_is_bounded(vectors):
+    with pytest.raises(ValueError):
+        draw_samples(vectors, "id", "features", ForestConfig(trees=1 << 14))
+
+
 def test_copies_are_drawn_by_their_share(spark):
     """A third of the rows are copies of one row."""
     rows = spark.range(900).select(

@@ -4,6 +4,7 @@ import json
 from datetime import datetime
 from types import SimpleNamespace
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -60,10 +61,34 @@ def test_thresholds_are_strict(spark):
     assert message == "DLQ_COUNT ALERT: 6.000 is above the limit 5.000"
 
 
+TAGGED = "kafka_timestamp timestamp, error string"
+
+
 def test_report_of_nothing(spark):
-    lag = spark.createDataFrame([], "lag long")
-    row = health.health_report(lag, spark.createDataFrame([], "error string")).first()
-    assert (row["kafka_lag"], row["dlq_count"]) == (0, 0)
+    """No offsets at all are an unknown lag, not a lag of zero."""
+    lag = spark.createDataFrame([], "group string, lag long")
+    row = health.health_report(lag, spark.createDataFrame([], TAGGED)).first()
+    assert (row["kafka_lag"], row["dlq_count"]) == (-1, 0)
+
+
+def test_report_counts_rejects_of_the_last_interval_and_one_group(spark):
+    at = datetime(2024, 1, 1, 12)
+    rows = [(datetime(2024, 1, 1, 11, 59, s), e) for s, e in ((30, "old"), (31, "bad"), (45, None), (59, "bad"))]
+    rows += [(at, "bad"), (datetime(2024, 1, 1, 12, 0, 1), "later"), (None, "bad")]
+    lag = spark.createDataFrame([("a", 7), ("b", 5)], "group string, lag long")
+    tagged = spark.createDataFrame(rows, TAGGED)
+    both = health.health_report(lag, tagged, F.lit(at)).first()
+    assert (both["kafka_lag"], both["dlq_count"]) == (12, 3)
+    one = health.health_report(lag, tagged, F.lit(at), group="a").first()
+    assert (one["kafka_lag"], one["dlq_count"]) == (7, 3)
+    assert health.health_report(lag, tagged, F.lit(at), group="c").first()["kafka_lag"] == -1
+
+
+@pytest.mark.parametrize(("rate", "fires"), [(0.05, {"<"}), (10.0, set()), (25.0, {">"}), (None, set())])
+def test_fraud_rate_is_fed_to_the_checks(spark, rate, fires):
+    kpi = spark.createDataFrame([(rate, 10.0)], "fraud_rate_pct double, avg_detection_latency_ms double")
+    alerts = health.evaluate_thresholds(health.fraud_rate_metrics(kpi), health.monitor_rules(spark)).collect()
+    assert {r["op"] for r in alerts if r["name"] == "fraud_rate"} == fires
 
 
 def report(batch, dropped=0):
