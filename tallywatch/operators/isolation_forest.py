@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -81,11 +82,12 @@ def fit_scaler(vectors: DataFrame, names: tuple[str, ...] = MODEL_FEATURES, colu
 
 def apply_scaler(vectors: DataFrame, scaler: DataFrame, column: str = "features", out: str = "scaled") -> DataFrame:
     """``(x - mean) / scale`` per feature; the scaler has a row per feature."""
+    return vectors.withColumn(out, scaled_column(scaler, column))
+
+
+def scaled_column(scaler: DataFrame, column: str = "features") -> Column:
     stats = scaler.orderBy("position").collect()
-    scaled = [
-        (F.get(column, F.lit(i)) - F.lit(row["mean"])) / F.lit(row["scale"]) for i, row in enumerate(stats)
-    ]
-    return vectors.withColumn(out, F.array(*scaled))
+    return F.array(*[(F.get(column, F.lit(i)) - F.lit(row["mean"])) / F.lit(row["scale"]) for i, row in enumerate(stats)])
 
 
 # -- drawing the training samples ----------------------------------------------
@@ -231,13 +233,19 @@ class IsolationForest:
     sample_size: int
     offset: float
 
+    def scorer(self, column: str = "features") -> Callable[[DataFrame], DataFrame]:
+        """What ``score`` does, with the model read and broadcast once, here."""
+        value = score_column(self.nodes, self.sample_size, scaled_column(self.scaler, column))
+
+        def add(vectors: DataFrame) -> DataFrame:
+            scored = vectors.withColumn("isolation_score", value)
+            return scored.withColumn("is_anomaly_ml", F.col("isolation_score") < self.offset)
+
+        return add
+
     def score(self, vectors: DataFrame, column: str = "features") -> DataFrame:
         """Adds ``isolation_score`` (lower is stranger) and ``is_anomaly_ml``."""
-        scaled = apply_scaler(vectors, self.scaler, column, "_scaled")
-        scored = scaled.withColumn(
-            "isolation_score", score_column(self.nodes, self.sample_size, F.col("_scaled"))
-        ).drop("_scaled")
-        return scored.withColumn("is_anomaly_ml", F.col("isolation_score") < self.offset)
+        return self.scorer(column)(vectors)
 
     def save(self, path: str) -> None:
         spark = self.nodes.sparkSession

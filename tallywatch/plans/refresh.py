@@ -29,7 +29,7 @@ TARGET_LAG = {
 
 _VERSIONS = T.StructType(
     [T.StructField("view", T.StringType()), T.StructField("version", T.StringType()),
-     T.StructField("as_of", T.TimestampType())]
+     T.StructField("as_of", T.TimestampType()), T.StructField("finished", T.TimestampType())]
 )
 
 
@@ -37,7 +37,7 @@ def build_views(scores: DataFrame, as_of, cfg: ViewConfig = ViewConfig()) -> dic
     return {
         "fraud_summary_1min": fraud_summary_by_minute(scores),
         "user_risk_profile": user_risk_profile(scores, as_of, cfg.profile_lookback),
-        "fraud_alerts": fraud_alerts(scores, as_of, cfg.alert_lookback, ordered=True),
+        "fraud_alerts": fraud_alerts(scores, as_of, cfg.alert_lookback),
         "dashboard_kpi": dashboard_kpi(scores, as_of, cfg.kpi_lookback),
     }
 
@@ -53,7 +53,9 @@ def refresh_views(
     """Recompute the named views into a new version and publish it.
 
     Each version has its own folder and is listed only after it is complete,
-    so readers never see half a view and a failed refresh changes nothing.
+    so readers never see half a view and a failed refresh changes nothing. The
+    version with the latest ``as_of`` is current, so a slow refresh does not
+    replace a newer one; between equal times the one that finished last.
     """
     version = uuid.uuid4().hex
     stamp = F.current_timestamp() if as_of is None else as_of
@@ -66,7 +68,8 @@ def refresh_views(
         .select(
             F.explode(F.array(*[F.lit(n) for n in names])).alias("view"),
             F.lit(version).alias("version"),
-            F.current_timestamp().alias("as_of"),
+            stamp.cast("timestamp").alias("as_of"),
+            F.current_timestamp().alias("finished"),
         )
         .coalesce(1)
         .write.mode("append")
@@ -77,7 +80,7 @@ def refresh_views(
 
 def current_version(spark: SparkSession, views_path: str, name: str) -> str:
     log = spark.read.schema(_VERSIONS).parquet(f"{views_path}/versions")
-    latest = log.filter(F.col("view") == name).agg(F.max_by("version", "as_of")).first()
+    latest = log.filter(F.col("view") == name).agg(F.max_by("version", F.struct("as_of", "finished"))).first()
     return latest[0]
 
 

@@ -80,11 +80,16 @@ def start_dead_letters(
 
 
 def anomaly_writer(forest, writer: BatchWriter) -> BatchWriter:
-    """Adds the forest's score to each batch of feature rows, then writes it."""
+    """Adds the forest's score to each batch of feature rows, then writes it.
+
+    The model is read and broadcast once, when the writer is made.
+    """
     from tallywatch.operators.transaction_features import feature_vector
 
+    add_score = forest.scorer()
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer(forest.score(feature_vector(batch)).drop("features"), batch_id)
+        writer(add_score(feature_vector(batch)).drop("features"), batch_id)
 
     return write
 

@@ -150,3 +150,6 @@ def test_refresh_publishes_whole_versions(spark, tmp_path):
     assert current_version(spark, views_path, "user_risk_profile") == first
     feed = {r["user_id"]: r["risk_tier"] for r in read_feed(spark, views_path).collect()}
     assert feed == {"a": "CRITICAL", "b": None}
+    # a refresh as of an earlier time that ends later does not replace a newer one
+    refresh_views(spark, scores_path, views_path, now() - F.expr("INTERVAL 1 HOUR"), only=["fraud_alerts"])
+    assert current_version(spark, views_path, "fraud_alerts") == second
