@@ -1,0 +1,52 @@
+"""Near-duplicate groups of the pipeline against all pairs of texts."""
+
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+import corpus_pipeline
+from tallywatch.llm import simhash
+from tallywatch.llm.shingle_groups import keep_one_per_group, shingle_set
+
+
+def kept_by_all_pairs(rows):
+    sets = [set(shingle_set((text or "").encode()).tolist()) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            root[max(find(i), find(j))] = min(find(i), find(j))
+    return {rows[i][0] for i in range(len(rows)) if find(i) == i}
+
+
+def test_stage_removes_near_copies(spark):
+    draw = random.Random(3)
+    rows = []
+    for family in range(25):
+        base = [f"w{draw.randrange(3000)}" for _ in range(150)]
+        for edits in (0, 0, 1, 2, 3, 5, 9, 30):
+            words = list(base)
+            for at in draw.sample(range(150), edits):
+                words[at] = f"x{draw.randrange(10**9)}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(900, None), (901, ""), (902, "a b"), (903, "A  b"), (904, "c d")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    want = kept_by_all_pairs(rows)
+    stage = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert stage.columns == docs.columns
+    got = [r.doc_id for r in stage.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # the contract's two bits leave most of these copies in
+    assert simhash.keep_one_per_group(docs).count() > len(want) + 25
+
+
+def test_stage_on_odd_tables(spark):
+    docs = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
+    assert [r.doc_id for r in keep_one_per_group(docs).collect()] == [2]
+    assert keep_one_per_group(docs.limit(0)).count() == 0
