@@ -1,22 +1,27 @@
 """License scans by conditional compression.
 
-A text is cut into sentences within lines; those with a license word are the
-candidate blocks. Each block is compressed by itself and with every license
-template as a raw zstandard dictionary. Templates are ranked by how much of
-the block they save; the winner is confirmed by an exact comparison of words:
-the shares of the template's words, in order, that the block has, and of the
-block's words that the template has.
-
-Defined results: a null or empty text has no blocks; long texts are scanned
-whole, and a sentence longer than a compression window is cut into windows
-that overlap by the longest template; equal rankings go to the template that
-comes first in the table; repeated rows are scanned each; a null doc_id is
-carried; other columns are ignored; an empty table gives no rows.
+A text is cut into paragraphs (runs of lines with letters or digits); those
+with a license word are the candidate blocks. White space, line ends, comment
+marks and other punctuation only separate words. Around each license word the
+spans whose words agree with a template's are found by an exact comparison:
+the shares of the template's words, in order, that a span has, and of the
+span's words that the template has. Each span, without the words around it, is
+compressed by itself and with the template as a raw zstandard dictionary, which
+must save enough of it. A block gives every license that has a
+span of its own; of spans that overlap the one whose words agree best is taken.
+
+Defined results: a null or empty text has no blocks; long texts and blocks are
+scanned whole, in pieces that overlap by more than any span can have; between
+equal spans the longer one, then the template that saves more, then the one
+that comes first in the table is taken; repeated rows are scanned each; a null
+doc_id is carried; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -55,31 +60,49 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("proprietary", "Copyright. All rights reserved."),
 )
-CUES = (b"license", b"licence", b"copyright", b"rights reserved", b"public domain", b"permission", b"redistribut", b"cc by", b"cc-by", b"cc0", b"free software")
-SENTENCE = re.compile(rb"(?<=[.!?;])[ \t]+")
-WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+CUES = re.compile(
+    rb"licen[sc]e|copyright|rights[^a-z0-9]+reserved|public[^a-z0-9]+domain|permission|redistribut|cc[^a-z0-9]+by|cc0|free[^a-z0-9]+software"
+)
+PARAGRAPH = re.compile(rb"(?:[^\n]*[a-zA-Z0-9][^\n]*(?:\n|\Z))+")
+WORDS = re.compile(rb"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 # words that tell licenses apart: a block and a template must agree in them
-NAMES = frozenset("mit apache gnu gpl lesser affero bsd mozilla cc by sa nc nd by-sa by-nc by-nd by-nc-sa cc0 isc".split())
-NUMBER = re.compile(r"v?\d+(?:\.\d+)*")
-WINDOW = 4096
+NAMES = frozenset("mit apache gnu gpl lesser affero bsd mozilla cc by sa nc nd by-sa by-nc by-nd by-nc-sa cc0 isc".encode().split())
+NUMBER = re.compile(rb"v?\d+(?:\.\d+)*")
+REMEMBERED = 4096
 
 
 @dataclass(frozen=True)
 class ScanLimits:
-    """Least saving (share of the compressed size) and least agreement of words for a match."""
+    """Least saving (share of the span's compressed size) and least agreement of words for a match."""
 
     least_saving: float = 0.25
     least_recall: float = 0.7
     least_precision: float = 0.6
-    compared: int = 4
+
+
+@dataclass(frozen=True)
+class Found:
+    """A license's wording in a block: where its words begin and end, in bytes, and how well they agree."""
+
+    start: int
+    end: int
+    license: str
+    saving: float
+    recall: float
+    precision: float
+    exact: bool
+    words: int
+    template: int
+
+    def order(self) -> tuple:
+        return -(self.recall + self.precision), -self.words, -self.saving, self.template, self.start
 
 
 def has_cue(text: bytes) -> bool:
-    lowered = text.lower()
-    return any(cue in lowered for cue in CUES)
+    return CUES.search(text.lower()) is not None
 
 
-def names(words: list[str]) -> set[str]:
+def names(words: list[bytes]) -> set[bytes]:
     """The words that tell licenses apart: names and version numbers."""
     return {word for word in words if word in NAMES or NUMBER.fullmatch(word)}
 
@@ -98,66 +121,120 @@ class Scanner:
             )
             for _, text in templates
         ]
-        self.words = [WORDS.findall(text.lower()) for _, text in templates]
-        self.overlap = max(len(text.encode()) for _, text in templates)
-        self.known: dict[bytes, tuple | None] = {}
+        self.words = [WORDS.findall(text.lower().encode()) for _, text in templates]
+        self.counts = [Counter(words) for words in self.words]
+        self.names = [names(words) for words in self.words]
+        # a span has at most so many words, by the least precision
+        self.reach = [int(len(words) / limits.least_precision) + 1 for words in self.words]
+        self.known: dict[bytes, list[Found]] = {}
 
     def blocks(self, text: bytes) -> Iterator[tuple[int, bytes]]:
-        """Number and bytes of each candidate block."""
+        """Number of the first line and bytes of each candidate block."""
         if not has_cue(text):
             return
-        for number, line in enumerate(text.split(b"\n")):
-            if has_cue(line):
-                for sentence in SENTENCE.split(line):
-                    for low in range(0, max(1, len(sentence)), WINDOW):
-                        part = sentence[low : low + WINDOW + self.overlap]
-                        if has_cue(part):
-                            yield number, part
+        at = line = 0
+        for paragraph in PARAGRAPH.finditer(text):
+            block = paragraph[0]
+            if has_cue(block):
+                line += text.count(b"\n", at, paragraph.start())
+                at = paragraph.start()
+                yield line, block
 
     def match(self, block: bytes) -> tuple[str, float, float, float, bool] | None:
-        """License, saving, recall, precision and whether the wording is exact; None if no template fits."""
+        """License, saving, recall, precision and whether the wording is exact, where words agree best; None if no template fits."""
+        found = min(self.matches(block), key=Found.order, default=None)
+        return found and (found.license, found.saving, found.recall, found.precision, found.exact)
+
+    def matches(self, block: bytes) -> list[Found]:
+        """Every license that has a span of its own in the block, by place."""
+        if len(block) > REMEMBERED:
+            return self._matches(block)
         if block not in self.known:
             if len(self.known) > 20_000:
                 self.known.clear()
-            self.known[block] = self._match(block)
+            self.known[block] = self._matches(block)
         return self.known[block]
 
-    def _match(self, block: bytes) -> tuple[str, float, float, float, bool] | None:
-        lowered = block.decode("utf-8", "replace").lower()
-        data = lowered.encode()
-        alone = len(self.plain.compress(data))
-        savings = [(alone - len(c.compress(data))) / alone for c in self.primed]
-        ranked = sorted(range(len(savings)), key=lambda i: (-savings[i], i))
-        words = WORDS.findall(lowered)
-        best = None
-        for i in ranked[: self.limits.compared]:
-            if savings[i] < self.limits.least_saving:
-                break
-            wanted = self.words[i]
-            pieces = SequenceMatcher(None, wanted, words, autojunk=False).get_matching_blocks()
-            common = sum(p.size for p in pieces)
-            inner = [p for p in pieces if p.size]
-            if not inner:
-                continue
-            # words of the block around the template's wording are no difference, those inside it are
-            span = inner[-1].b + inner[-1].size - inner[0].b
-            recall, precision = common / len(wanted), common / span
-            spanned = words[inner[0].b : inner[0].b + span]
-            if recall < self.limits.least_recall or precision < self.limits.least_precision:
-                continue
-            if names(wanted) != names(spanned):
+    def _matches(self, block: bytes) -> list[Found]:
+        lowered = block.lower()
+        places = [(m.start(), m.end()) for m in WORDS.finditer(lowered)]
+        words = [lowered[a:b] for a, b in places]
+        starts = [a for a, _ in places]
+        cues = sorted({max(0, bisect_right(starts, m.start()) - 1) for m in CUES.finditer(lowered)})
+        spans: dict[tuple, Found] = {}
+        for low, high, own in self._pieces(cues, len(words)):
+            for found in self._in_piece(lowered, words, places, low, high, own):
+                spans[found.template, found.start, found.end] = found
+        taken: list[Found] = []
+        for found in sorted(spans.values(), key=Found.order):
+            if all(found.end <= other.start or other.end <= found.start for other in taken):
+                taken.append(found)
+        return sorted(taken, key=lambda found: found.start)
+
+    def _pieces(self, cues: list[int], n: int) -> Iterator[tuple[int, int, list[int]]]:
+        """First word and end of each piece, and the cues it is cut around."""
+        reach = max(self.reach)
+        own: list[int] = []
+        for cue in cues:
+            if own and (cue - own[-1] > 2 * reach or cue - own[0] > 4 * reach):
+                yield max(0, own[0] - reach), min(n, own[-1] + reach + 1), own
+                own = []
+            own.append(cue)
+        if own:
+            yield max(0, own[0] - reach), min(n, own[-1] + reach + 1), own
+
+    def _in_piece(self, lowered: bytes, words: list[bytes], places: list[tuple], low: int, high: int, cues: list[int]) -> Iterator[Found]:
+        counts = Counter(words[low:high])
+        for i, wanted in enumerate(self.words):
+            if sum(min(n, counts[word]) for word, n in self.counts[i].items()) < self.limits.least_recall * len(wanted):
                 continue
-            found = self.templates[i][0], savings[i], recall, precision, spanned == wanted
-            if best is None or (found[2] + found[3], found[1]) > (best[2] + best[3], best[1]):
-                best = found
-        return best
+            done = -1
+            for cue in cues:
+                if cue < done:
+                    continue
+                window = max(low, cue - self.reach[i]), min(high, cue + self.reach[i] + 1)
+                for a, b, common in self._spans(i, words, *window):
+                    done = max(done, b)
+                    data = lowered[places[a][0] : places[b - 1][1]]
+                    alone = len(self.plain.compress(data))
+                    saving = (alone - len(self.primed[i].compress(data))) / alone
+                    if saving < self.limits.least_saving:
+                        continue
+                    recall, precision = common / len(wanted), common / (b - a)
+                    exact = words[a:b] == wanted
+                    yield Found(places[a][0], places[b - 1][1], self.templates[i][0], saving, recall, precision, exact, b - a, i)
+
+    def _spans(self, i: int, words: list[bytes], low: int, high: int) -> Iterator[tuple[int, int, int]]:
+        """First and last word of the template's spans between two words, and how many words they share with it."""
+        wanted = self.words[i]
+        if high - low < self.limits.least_recall * len(wanted):
+            return
+        pieces = SequenceMatcher(None, wanted, words[low:high], autojunk=False).get_matching_blocks()
+        pieces = [(low + p.b, low + p.b + p.size, p.size) for p in pieces if p.size]
+        best = None
+        # words that stray outside the wording are left out where the rest agrees better
+        for first in range(len(pieces)):
+            common = 0
+            for last in range(first, len(pieces)):
+                a, b, common = pieces[first][0], pieces[last][1], common + pieces[last][2]
+                recall, precision = common / len(wanted), common / (b - a)
+                if recall < self.limits.least_recall or precision < self.limits.least_precision:
+                    continue
+                if (best is None or recall + precision > best[0]) and names(words[a:b]) == self.names[i]:
+                    best = recall + precision, a, b, common
+        if best is None:
+            return
+        _, a, b, common = best
+        yield a, b, common
+        yield from self._spans(i, words, low, a)
+        yield from self._spans(i, words, b, high)
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, limits: ScanLimits = ScanLimits()) -> DataFrame:
-    """One row per block that matches a license: where, which, and how well.
+    """One row per license found in a block: where, which, and how well.
 
-    ``doc_id``, ``line`` (from 0), ``license``, ``saving``, ``recall``, ``precision``,
-    ``exact`` and the block's ``text``.
+    ``doc_id``, ``line`` of its first word (from 0), ``license``, ``saving``, ``recall``,
+    ``precision``, ``exact`` and the ``text`` from its first word to its last.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -167,10 +244,11 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, limits: ScanLimits = Sca
             places, rows = [], []
             for i, text in enumerate(batch.column(1)):
                 for line, block in scanner.blocks(text.as_py()):
-                    found = scanner.match(block)
-                    if found:
+                    for found in scanner.matches(block):
                         places.append(i)
-                        rows.append((line, *found, block.decode("utf-8", "replace")))
+                        own = block[found.start : found.end].decode("utf-8", "replace")
+                        at = line + block.count(b"\n", 0, found.start)
+                        rows.append((at, found.license, found.saving, found.recall, found.precision, found.exact, own))
             if not rows:
                 continue
             kinds = [pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.string()]
