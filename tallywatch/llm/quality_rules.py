@@ -7,9 +7,13 @@ The references are counted over all documents: the character classes, and the
 class. A histogram is judged only from a minimum length on, as short texts
 stray by chance.
 
-Languages below ``LANGUAGE_SHARE`` of all words (and null ones) are judged
-by the reference of the whole table, so that at most ``1 / LANGUAGE_SHARE``
-references exist and what is broadcast has that bound.
+A language has a reference if it has ``LEAST_WORDS`` words or ``LANGUAGE_SHARE``
+of all words; so does a script, that is, all documents most of whose letters
+have lead bytes of one group of ``SCRIPTS``. A document of a language without a
+reference is judged by the character classes of its script, one without a
+language also by the words of its script, where the group is one script only.
+If its script has no reference either, the base rules alone decide. What is
+broadcast grows with the number of languages of ``LEAST_WORDS`` words.
 
 Defined results: a null or empty text has no words and fails the base rule;
 repeated rows are judged each; other columns, whatever their names, pass
@@ -20,7 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,7 @@ from pyspark.sql.window import Window
 from tallywatch.llm.common import column_or_null, fresh, save_and_reload, text_bytes
 
 LANGUAGE_SHARE = 0.002
+LEAST_WORDS = 2_000
 EVERY = "*"
 SYMBOLS = b"#*$%&|<>"
 CLASSES = ("lower", "upper", "other letter", "digit", "blank", "line end", "stop", "symbol", "other")
@@ -72,6 +77,30 @@ CLASS_OF = _class_table()
 IN_CLASS = (CLASS_OF[:, None] == np.arange(len(CLASSES))).astype(np.int64)
 
 
+# lead bytes of letters; the groups of OF_MANY hold several scripts
+SCRIPTS = {
+    "latin": (*range(65, 91), *range(97, 123), *range(0xC3, 0xCB)),
+    "greek": (0xCE, 0xCF),
+    "cyrillic": range(0xD0, 0xD4),
+    "armenian, hebrew": range(0xD4, 0xD8),
+    "arabic": range(0xD8, 0xDC),
+    "syriac and others": range(0xDC, 0xE0),
+    "indic, thai": (0xE0,),
+    "georgian, ethiopic, khmer": (0xE1,),
+    "kana, han": range(0xE3, 0xEA),
+    "hangul": range(0xEA, 0xEE),
+}
+SCRIPT_NAMES = (*SCRIPTS, "none")
+OF_MANY = frozenset(("armenian, hebrew", "syriac and others", "indic, thai", "georgian, ethiopic, khmer", "kana, han"))
+IN_SCRIPT = np.stack([np.isin(np.arange(256), list(members)) for members in SCRIPTS.values()], axis=1).astype(np.int64)
+
+
+def script_of(of_bytes: np.ndarray) -> str:
+    """The script of most letters of a text; ``none`` without letters."""
+    letters = of_bytes @ IN_SCRIPT
+    return SCRIPT_NAMES[int(letters.argmax()) if letters.any() else -1]
+
+
 def byte_counts(text: bytes) -> np.ndarray:
     """How often each byte value occurs; all character counts follow from it."""
     return np.bincount(np.frombuffer(text, np.uint8), minlength=256)
@@ -147,20 +176,23 @@ FLUSH = 200_000
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts per language: of words, and of classes under keys of the form 0x00, number."""
+    """Counts per language and script: of words, and of classes under keys of the form 0x00, number."""
 
-    def rows(lang: str, counts: dict[bytes, int]) -> pa.RecordBatch:
-        arrays = [pa.array([lang] * len(counts)), pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(arrays, names=["lang", "item", "n"])
+    def rows(place: tuple[str, str], counts: dict[bytes, int]) -> pa.RecordBatch:
+        arrays = [pa.array([name] * len(counts)) for name in place]
+        arrays += [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, names=["lang", "script", "item", "n"])
 
-    seen: dict[str, Counter] = {}
+    seen: dict[tuple[str, str], Counter] = {}
     held = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text, counter = text.as_py(), seen.setdefault(lang or EVERY, Counter())
+            text = text.as_py()
+            of_bytes = byte_counts(text)
+            counter = seen.setdefault((lang or EVERY, EVERY + script_of(of_bytes)), Counter())
             held -= len(counter)
             counter.update(text.split())
-            for number, n in enumerate((byte_counts(text) @ IN_CLASS).tolist()):
+            for number, n in enumerate((of_bytes @ IN_CLASS).tolist()):
                 if n:
                     counter[b"\x00%d" % number] += n
             held += len(counter)
@@ -171,20 +203,21 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> dict[str, Reference]:
-    """References of all documents and of each language with enough words, by name."""
+    """References of each language and, under ``EVERY`` and its name, each script with enough words."""
     picked = docs.select(column_or_null(docs, "lang", "string").alias("lang"), text_bytes().alias("text"))
-    tallied = picked.mapInArrow(_tally, "lang string, item binary, n long")
-    counted = save_and_reload(tallied.groupBy("lang", "item").agg(F.sum("n").alias("n")), "word-counts")
+    tallied = picked.mapInArrow(_tally, "lang string, script string, item binary, n long")
+    counted = save_and_reload(tallied.groupBy("lang", "script", "item").agg(F.sum("n").alias("n")), "word-counts")
     is_class = F.substring("item", 1, 1) == F.lit(b"\x00")
-    totals = counted.where(~is_class).groupBy("lang").agg(F.sum("n").alias("total"))
-    floor = (totals.agg(F.sum("total")).first()[0] or 0) * LANGUAGE_SHARE
-    large = totals.where((F.col("total") > floor) & (F.col("lang") != EVERY))
-    by_lang = counted.join(large, "lang").select("lang", "item", "n", "total")
-    every = counted.groupBy("item").agg(F.sum("n").alias("n"))
-    every_total = counted.where(~is_class).agg(F.sum("n").alias("total"))
-    every = every.withColumn("total", F.lit(every_total.first()[0] or 0)).select(F.lit(EVERY).alias("lang"), "item", "n", "total")
+    floor = (counted.where(~is_class).agg(F.sum("n")).first()[0] or 0) * LANGUAGE_SHARE
+    parts = []
+    for place in (F.when(~F.startswith("lang", F.lit(EVERY)), F.col("lang")), F.col("script")):
+        own = counted.select(place.alias("lang"), "item", "n").where("lang IS NOT NULL")
+        own = own.groupBy("lang", "item").agg(F.sum("n").alias("n"))
+        totals = own.where(~is_class).groupBy("lang").agg(F.sum("n").alias("total"))
+        large = totals.where((F.col("total") > floor) | (F.col("total") >= LEAST_WORDS))
+        parts.append(own.join(large, "lang").select("lang", "item", "n", "total"))
+    both = parts[0].unionByName(parts[1])
     found: dict[str, Reference] = {}
-    both = by_lang.unionByName(every)
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
     common = both.where(~is_class).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limits.common)
     rows: dict[str, list] = {}
@@ -201,6 +234,18 @@ def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> d
     return found
 
 
+def reference_of(references: dict[str, Reference], lang: str | None, text: bytes) -> Reference | None:
+    """The reference that a text of a language is judged by; None if there is none."""
+    if lang in references and not lang.startswith(EVERY):
+        return references[lang]
+    script = script_of(byte_counts(text))
+    reference = references.get(EVERY + script)
+    if reference is None or (not lang and script not in OF_MANY):
+        return reference
+    # words of other languages say nothing of this one
+    return replace(reference, counts=np.zeros_like(reference.counts))
+
+
 def judge(text: bytes, reference: Reference | None, limits: RuleLimits) -> tuple:
     """The values of ``VERDICT`` for one text. A distance that is not judged is 0."""
     words, of_bytes = text.split(), byte_counts(text)
@@ -241,8 +286,8 @@ def judge_documents(docs: DataFrame, limits: RuleLimits = RuleLimits(), keep: tu
         for batch in batches:
             columns: list[list] = [[] for _ in VERDICT_COLUMNS]
             for code, value in zip(batch.column(len(keep)).to_pylist(), batch.column(len(keep) + 1)):
-                reference = by_lang.get(code or EVERY, by_lang.get(EVERY))
-                for column, x in zip(columns, judge(value.as_py(), reference, limits)):
+                value = value.as_py()
+                for column, x in zip(columns, judge(value, reference_of(by_lang, code, value), limits)):
                     column.append(x)
             kinds = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()] * 2
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(c, k) for c, k in zip(columns, kinds)]
@@ -268,8 +313,8 @@ def keep_good_documents(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> D
             codes = [None] * batch.num_rows if lang is None else batch.column(lang).to_pylist()
             verdicts = []
             for code, value in zip(codes, batch.column(text).cast(pa.binary())):
-                reference = by_lang.get(code or EVERY, by_lang.get(EVERY))
-                verdicts.append(judge(value.as_py() or b"", reference, limits)[-1])
+                value = value.as_py() or b""
+                verdicts.append(judge(value, reference_of(by_lang, code, value), limits)[-1])
             yield batch.filter(pa.array(verdicts, pa.bool_()))
 
     return docs.mapInArrow(compute, docs.schema)
