@@ -49,6 +49,8 @@ ASIDE_WORDS = frozenset(
     "newsletter notice pagination popup promo related replies reply respond share sharing sidebar signup social "
     "sponsor sponsored subscribe toc toolbar topbar widget".split()
 )
+# names with one of these say how a page is laid out, not what the element is
+STATE_WORDS = frozenset("active allowed closed disabled enabled has hide no off on open show with without".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 # an opening tag of the key ends an open one of the same group, unless a tag of the value is in between
@@ -81,13 +83,22 @@ class _Open:
     heading: bool = False
 
 
+def _names_aside(value: str) -> bool:
+    """Whether a class or id has a name that begins or ends with a word for asides."""
+    for name in value.split():
+        parts = TOKEN.findall(name)
+        if parts and (parts[0] in ASIDE_WORDS or parts[-1] in ASIDE_WORDS) and STATE_WORDS.isdisjoint(parts):
+            return True
+    return False
+
+
 def _opened(tag: str, attributes: str, outer: _Open) -> _Open:
     aside_name = False
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, *values in NAMED.findall(attributes):
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id"):
-                aside_name |= not ASIDE_WORDS.isdisjoint(TOKEN.findall(value))
+                aside_name |= tag not in ("html", "body") and _names_aside(value)
             elif name == "role":
                 aside_name |= value in ASIDE_ROLES
             else:
@@ -101,7 +112,8 @@ def _opened(tag: str, attributes: str, outer: _Open) -> _Open:
         outer.dropped or tag in DROPPED,
         outer.link or tag == "a",
         outer.aside_tag or aside,
-        outer.aside_name or aside_name,
+        # an article within a marked wrapper is no aside, one within an article may be
+        aside_name or (outer.aside_name and (tag not in ARTICLE_TAGS or outer.article)),
         outer.article or tag in ARTICLE_TAGS,
         outer.heading or tag in HEADINGS,
     )
@@ -282,6 +294,9 @@ def labelled_pages() -> list[str]:
         f"{p(12)}{p(9)}",
         p(3),
         f"<div>{p(5, 'h1')}{p(40)}{p(6)}</div>",
+        # wrappers named after what stands beside the article
+        f"<body class='has-sidebar comments-open'><div class='no-sidebar'>{p(4, 'h1')}{p(50)}{p(20)}</div></body>",
+        f"<div class='sidebar-left'><main>{p(4, 'h1')}{p(40)}{p(12)}</main></div><div class='sidebar'>{side(30)}</div>",
         # links within prose do not make it a menu; link lists inside an article are its text
         f"<article>{p(2, 'h1')}<p>main word <a>word word</a> word word word word</p>{p(22)}<p>main <a>word word word</a></p></article>",
     ]
