@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import archive, bpe, graph_search, html_text, licenses, lm_score, mixing, quality_model, quality_rules, simhash
+from tallywatch.llm import (
+    archive,
+    bpe,
+    graph_search,
+    html_text,
+    language_id,
+    licenses,
+    lm_score,
+    mixing,
+    prefix_trie,
+    quality_model,
+    quality_rules,
+    simhash,
+    spelling,
+)
 from tallywatch.llm.common import documents, shared_dir, table
 
 
@@ -77,6 +91,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(documents(spark, sf_dir))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -88,8 +114,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_language_id": op13_language_id,
 }
 
+# crc32 of a text in SQL: the table of the polynomial, then one step a byte
+CRC = """
+crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS steps
+)
+"""
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of a text expression, where the row has ``steps`` of ``crc``."""
+    return f"""xor(list_reduce(list_transform(range(octet_length(encode({text}))),
+      lambda i: ('0x' || substr(hex(encode({text})), (2 * i + 1)::INT, 2))::BIGINT),
+      lambda a, b: xor(steps[((xor(a, b)) & 255) + 1], a >> 8), 4294967295::BIGINT), 4294967295)"""
+
+
 ORACLES: dict[str, str] = {
     "op8_language_model": r"""
 WITH d AS (
@@ -128,5 +173,66 @@ SELECT p.page_id, p.payload_bytes,
   CASE WHEN p.page_id IS NOT DISTINCT FROM r.responder THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN p.page_id IS NOT DISTINCT FROM r.responder THEN NULL ELSE r.responder END AS refers_to
 FROM p JOIN r USING (h)
+""",
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE {CRC},
+r AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) WHERE length(run) >= 6
+),
+g AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS named, run, count(*) AS n FROM r GROUP BY ALL),
+h AS (SELECT run, n, {crc32_sql("named")} AS h FROM g CROSS JOIN crc),
+w AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word,
+    sum(n)::BIGINT AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM w)),
+near AS (
+  SELECT DISTINCT x.word AS a, y.word AS b, y.n AS n FROM cut x JOIN cut y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION SELECT DISTINCT x.word, w.word, w.n FROM cut x JOIN w ON w.word = x.rest
+  UNION SELECT DISTINCT w.word, x.word, x.n FROM cut x JOIN w ON w.word = x.rest
+),
+best AS (SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, encode(b)) AS b, max(n) AS m FROM near GROUP BY a),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * w.n THEN b END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n
+  FROM w LEFT JOIN best ON best.a = w.word
+),
+p AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT p.word, f.word, f.form FROM p JOIN f ON f.word = p.next)
+SELECT f.word, f.form, p.at AS root, f.n, f.n_near, f.form_n FROM f JOIN p ON p.word = f.word AND p.next IS NULL
+""",
+    "op12_prefix_trie": rf"""
+WITH {CRC},
+t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+c AS (SELECT conv_id, {crc32_sql("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t) CROSS JOIN crc),
+r AS (
+  SELECT c.conv_id, i, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND i <= h
+  UNION ALL SELECT c.conv_id, i, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND i > h
+),
+d AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS depth, sha256(length(role) || ':' || role || text) AS x, length(text) AS chars FROM r),
+k AS (
+  SELECT conv_id, depth, chars, sha256(string_agg(x, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM d
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+),
+l AS (SELECT conv_id, max(depth) AS last FROM k GROUP BY conv_id),
+n AS (
+  SELECT key, k.depth, any_value(chars) AS chars, min(k.conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN k.depth = l.last THEN k.conv_id::VARCHAR END, ',' ORDER BY k.conv_id), '')) AS ends_sha256
+  FROM k JOIN l USING (conv_id) GROUP BY key, k.depth
+),
+m AS (SELECT k.conv_id AS member, n.conv_id, n.depth FROM k JOIN n ON n.key = k.key AND n.depth = k.depth),
+p AS (SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id FROM n JOIN m ON m.member = n.conv_id AND m.depth = n.depth - 1),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM p GROUP BY ALL),
+v AS (SELECT n.conv_id, n.depth, (n_convs - 1) * chars AS saved, (n_children IS NULL)::INT AS leaf FROM n LEFT JOIN kids USING (conv_id, depth)),
+s AS (
+  SELECT m.conv_id, m.depth, sum(saved)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves
+  FROM v JOIN m ON m.member = v.conv_id AND m.depth <= v.depth GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.parent_conv_id, n.n_convs, coalesce(kids.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM n JOIN s USING (conv_id, depth) LEFT JOIN p USING (conv_id, depth) LEFT JOIN kids USING (conv_id, depth)
 """,
 }
