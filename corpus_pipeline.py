@@ -1,4 +1,4 @@
-"""From raw documents to token ids: rules, classifier, near-duplicates, mixing, encoding.
+"""From raw documents to token ids: rules, classifier, SimHash near-duplicates, mixing, encoding.
 
 Every stage takes the documents its predecessor kept and, but for the last,
 returns rows of the same columns. ``run`` applies them to the table documents.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import bpe, mixing, quality_model, quality_rules, shingle_groups
+from tallywatch.llm import bpe, mixing, quality_model, quality_rules, simhash
 from tallywatch.llm.common import documents, save_and_reload, table
 from tallywatch.llm.queries import vocabulary_path
 
@@ -24,8 +24,8 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that 5-word similarities of 0.8 or more link."""
-    return shingle_groups.keep_one_per_group(docs)
+    """One document of each group that fingerprints at 2 or fewer differing bits link."""
+    return simhash.keep_one_per_group(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", rules),
     ("quality classifier", classifier),
-    ("near-duplicates", near_duplicates),
+    ("SimHash near-dedup", near_duplicates),
     ("mixing", mixture),
     ("encoding", encoding),
 ]
