@@ -450,6 +450,12 @@ SELECT {replaced('total_amount_24h avg_txn_amount_24h peak_fraud_score avg_fraud
     "dashboard_kpi": f"WITH {VIEWS} SELECT {replaced('total_volume_usd_1h at_risk_usd_1h')} FROM kpi",
     "fraud_feed": FEED,
     "refreshed_feed": FEED,
+    "refreshed_incremental": FEED,
+    "incremental_kpi": f"WITH {VIEWS} SELECT {replaced('total_volume_usd_1h at_risk_usd_1h')} FROM kpi",
+    "incremental_summary": f"""
+WITH {VIEWS} SELECT {replaced('fraud_amount_at_risk avg_fraud_score max_fraud_score')} FROM summary""",
+    "compacted_scores": f"WITH {SCORES} SELECT {SCORED} FROM scores",
+    "replayed_sink": f"WITH {SCORES} SELECT {SCORED} FROM scores",
     "txn_time_features": f"WITH {PER_TX} SELECT {replaced('log_amount')} FROM clocked",
     "txn_zscore_rows": f"WITH {PER_TX} SELECT {replaced('zscore_amount')} FROM row_stats",
     "txn_iqr_outlier": f"WITH {PER_TX} SELECT * FROM outliers",

@@ -26,7 +26,8 @@ from tallywatch.operators.trailing import trailing_stats
 from tallywatch.operators.window_features import non_overlapping, window_features
 from tallywatch.plans import views
 from tallywatch.plans.detection import last_window_end, scored_windows, valid_amounts
-from tallywatch.plans.refresh import read_feed, refresh_views
+from tallywatch.plans.incremental import refresh_due
+from tallywatch.plans.refresh import read_feed, read_view, refresh_views
 from tallywatch.session import save_and_reload, shared_dir, stream_settings
 from tallywatch.sources.messages import (
     dead_letters,
@@ -36,6 +37,7 @@ from tallywatch.sources.messages import (
     with_rejection,
 )
 from tallywatch.sources.score_store import read_scores, write_scores
+from tallywatch.sources.snapshots import append_batch, compact, expire, open_snapshot
 from tallywatch.sources.synthetic import synthetic_from_ids
 from tallywatch.sources.tables import (
     offsets_from_events,
@@ -45,6 +47,7 @@ from tallywatch.sources.tables import (
     transactions_from_order_lines,
 )
 from tallywatch.streaming.detection import start, start_dead_letters, start_detection
+from tallywatch.streaming.publishing import Target, publish_batch
 from tallywatch.streaming.sinks import batch_folder_writer, score_writer, with_fallback
 from tallywatch.streaming.stateful import trailing_stream_features
 
@@ -269,6 +272,76 @@ def refreshed_feed(spark: SparkSession, sf: str) -> DataFrame:
     return settle(feed, "fraud_score", "avg_fraud_score", "total_amount_24h")
 
 
+def score_batches(spark: SparkSession, sf: str, many: int) -> list[DataFrame]:
+    """The score rows in batches by user."""
+    rows = save_and_reload(scores(spark, sf), "scores")
+    return [rows.filter(F.pmod(F.xxhash64("user_id"), F.lit(many)) == i) for i in range(many)]
+
+
+def refreshed_in_steps(spark: SparkSession, sf: str) -> str:
+    """Three batches, each followed by a refresh from new batches only; returns where the views are."""
+    path = shared_dir(spark, "store")
+    latest = as_of(spark, sf)
+    never_fresh = {name: "0 seconds" for name in ("fraud_summary_1min", "user_risk_profile", "fraud_alerts", "dashboard_kpi")}
+    for number, batch in enumerate(score_batches(spark, sf, 3)):
+        append_batch(batch, f"{path}/scores", number)
+        refresh_due(spark, f"{path}/scores", f"{path}/views", latest, CONFIG.views, never_fresh)
+    return f"{path}/views"
+
+
+def refreshed_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    feed = read_feed(spark, refreshed_in_steps(spark, sf))
+    return settle(feed, "fraud_score", "avg_fraud_score", "total_amount_24h")
+
+
+def incremental_kpi_row(spark: SparkSession, sf: str) -> DataFrame:
+    row = read_view(spark, refreshed_in_steps(spark, sf), "dashboard_kpi")
+    return settle(row, "total_volume_usd_1h", "at_risk_usd_1h")
+
+
+def incremental_summary_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = read_view(spark, refreshed_in_steps(spark, sf), "fraud_summary_1min")
+    return settle(rows, "fraud_amount_at_risk", "avg_fraud_score", "max_fraud_score")
+
+
+def compacted_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Score rows appended in twelve batches, one of them twice, then compacted, replaced files removed."""
+    path = shared_dir(spark, "snapshots")
+    batches = score_batches(spark, sf, 12)
+    for number, batch in enumerate(batches):
+        append_batch(batch.limit(0) if number == 5 else batch, path, number)
+    compact(spark, path)
+    append_batch(batches[5], path, 5)
+    compact(spark, path, crowded=2)
+    expire(spark, path, keep_seconds=0)
+    rows = open_snapshot(spark, path).rows().drop("processed_date", "run_id", "batch_id")
+    return settle(rows, *WINDOW_SUMS, "zscore_amount", "fraud_score")
+
+
+class _FailsOnce(Target):
+    """A target whose first append of a batch reports a failure after some or all rows are there."""
+
+    def append(self, rows: DataFrame) -> None:
+        share = {0: 1.0, 1: 0.5, 2: 0.0}[rows.select("batch_id").first()[0]]
+        super().append(rows.filter(F.pmod(F.col("row_id"), F.lit(100)) < share * 100))
+        raise OSError("connection lost")
+
+
+def replayed_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Every batch fails in its first append, is repeated, and then once more after it is done."""
+    path = shared_dir(spark, "published")
+    options = {"path": f"{path}/table"}
+    for number, batch in enumerate(score_batches(spark, sf, 3)):
+        try:
+            publish_batch(batch, number, "run", _FailsOnce("parquet", options), path)
+        except OSError:
+            pass
+        for _ in range(2):
+            publish_batch(batch, number, "run", Target("parquet", options), path)
+    rows = Target("parquet", options).read(spark).drop("run_id", "batch_id", "row_id")
+    return settle(rows, *WINDOW_SUMS, "zscore_amount", "fraud_score")
+
+
 # -- transaction features -----------------------------------------------------------
 
 
@@ -565,6 +638,11 @@ QUERIES: dict[str, Query] = {
     "dashboard_kpi": kpi_row,
     "fraud_feed": fraud_feed,
     "refreshed_feed": refreshed_feed,
+    "refreshed_incremental": refreshed_incremental,
+    "incremental_kpi": incremental_kpi_row,
+    "incremental_summary": incremental_summary_rows,
+    "compacted_scores": compacted_scores,
+    "replayed_sink": replayed_sink,
     "txn_time_features": time_features,
     "txn_zscore_rows": row_zscores,
     "txn_iqr_outlier": iqr_outliers,

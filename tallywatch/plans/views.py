@@ -76,6 +76,20 @@ def user_risk_profile(
     )
 
 
+def alert_rows(scores: DataFrame) -> DataFrame:
+    """Suspected windows, typed and renamed."""
+    return scores.filter("is_fraud_suspected").select(
+        "user_id",
+        "window_start",
+        "fraud_score",
+        alert_type().alias("alert_type"),
+        F.col("max_amount_1h").alias("flagged_amount"),
+        F.col("country_count_1h").alias("country_count"),
+        F.col("txn_count_1h").alias("transaction_count"),
+        F.col("processed_at").alias("alert_generated_at"),
+    )
+
+
 def fraud_alerts(
     scores: DataFrame,
     as_of: Column | None = None,
@@ -84,20 +98,7 @@ def fraud_alerts(
 ) -> DataFrame:
     """Suspected windows of the lookback, typed and renamed."""
     as_of = F.current_timestamp() if as_of is None else as_of
-    alerts = (
-        recent_scores(scores, as_of, lookback)
-        .filter("is_fraud_suspected")
-        .select(
-            "user_id",
-            "window_start",
-            "fraud_score",
-            alert_type().alias("alert_type"),
-            F.col("max_amount_1h").alias("flagged_amount"),
-            F.col("country_count_1h").alias("country_count"),
-            F.col("txn_count_1h").alias("transaction_count"),
-            F.col("processed_at").alias("alert_generated_at"),
-        )
-    )
+    alerts = alert_rows(recent_scores(scores, as_of, lookback))
     return alerts.orderBy(F.desc("fraud_score"), "user_id", "window_start") if ordered else alerts
 
 
