@@ -32,7 +32,7 @@ from tallywatch.llm.common import fresh
 
 # The pattern belongs to the vocabulary format: fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 LONGEST_REMEMBERED = 48
 
 
@@ -53,16 +53,24 @@ def _numbers(joined: str) -> np.ndarray:
 
 
 class Remembered(dict):
-    """Results of ``compute`` by text, forgotten all at once when there are too many."""
+    """Results of ``compute`` by text, in two generations of ``REMEMBERED`` at most.
+
+    When the younger one is full it becomes the older one, whose results are
+    taken over when they are met again; what was not met is forgotten.
+    """
 
     def __init__(self, compute) -> None:
         super().__init__()
         self.compute = compute
+        self.older: dict = {}
 
     def __missing__(self, text: str):
-        result = self.compute(text)
+        result = self.older.get(text)
+        if result is None:
+            result = self.compute(text)
         if len(text) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[text] = result
         return result
@@ -90,8 +98,7 @@ class Codec:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.special else None
         self.space_before_blank = regex.compile(r" \s").search
-        self.known_pieces = Remembered(self._piece)
-        self.known_chunks = Remembered(self._chunk)
+        self.known = Remembered(self._chunk)
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one piece."""
@@ -132,32 +139,46 @@ class Codec:
                     heappush(queue, found >> 32 << 32 | left)
         return [i for i in ids if i >= 0]
 
-    def _piece(self, piece: str) -> str:
-        return ",".join(map(str, self.merge(piece.encode())))
+    def _chunk(self, chunk: str) -> tuple[str, bytes]:
+        """The joined ids of a chunk, and the bytes that they decode to."""
+        pieces = self.pieces(chunk)
+        if len(pieces) == 1:
+            ids = self.merge(chunk.encode())
+            return ",".join(map(str, ids)), b"".join([self.strings[i] for i in ids])
+        found = [self.known[piece] for piece in pieces]
+        return ",".join([joined for joined, _ in found]), b"".join([back for _, back in found])
 
-    def _chunk(self, chunk: str) -> str:
-        return ",".join([self.known_pieces[piece] for piece in self.pieces(chunk)])
-
-    def joined(self, text: str) -> str:
-        """The ids of a text, joined by commas.
+    def _chunks(self, text: str) -> list[tuple[str, bytes]]:
+        """Joined ids and decoded bytes of the chunks of a text, in order.
 
         Where every space is followed by something visible, no piece of the
         pattern crosses the place before a space, so such texts are looked up
         by the stretch from one space to the next.
         """
         runs = self.split_special.split(text) if self.split_special else [text]
-        found: list[str] = []
+        known = self.known
+        found: list[tuple[str, bytes]] = []
         for run in runs:
             if run in self.special:
-                found.append(str(self.special[run]))
+                found.append((str(self.special[run]), run.encode()))
             elif run and self.space_before_blank(run):
-                found += map(self.known_pieces.__getitem__, self.pieces(run))
+                found += [known[piece] for piece in self.pieces(run)]
             elif run:
                 first, *rest = run.split(" ")
                 if first:
-                    found.append(self.known_chunks[first])
-                found += map(self.known_chunks.__getitem__, [" " + x for x in rest])
-        return ",".join(found)
+                    found.append(known[first])
+                found += [known[" " + x] for x in rest]
+        return found
+
+    def joined(self, text: str) -> str:
+        """The ids of a text, joined by commas."""
+        return ",".join([joined for joined, _ in self._chunks(text)])
+
+    def round_trip(self, text: str) -> tuple[str, str]:
+        """The joined ids of a text and the text that they decode to."""
+        found = self._chunks(text)
+        decoded = b"".join([back for _, back in found]).decode("utf-8", "replace")
+        return ",".join([joined for joined, _ in found]), decoded
 
     def encode(self, text: str) -> np.ndarray:
         return _numbers(self.joined(text))
@@ -221,7 +242,8 @@ def decode_documents(encoded: DataFrame, vocabulary: str) -> DataFrame:
 def encoding_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Per row: ``doc_id``, ``n_tokens``, and SHA-256 of the joined ids and of the decoded text.
 
-    The same encoding as ``encode_documents``, but ids stay in the task.
+    The same encoding as ``encode_documents``, but ids stay in the task; the
+    bytes of a chunk's vocabulary strings are put together when its ids are.
     """
     shared = _broadcast(docs, vocabulary)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -231,11 +253,10 @@ def encoding_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
         for batch in batches:
             counts, digests, decoded = [], [], []
             for text in batch.column(1):
-                joined = codec.joined(text.as_py())
-                ids = _numbers(joined)
-                counts.append(len(ids))
+                joined, back = codec.round_trip(text.as_py())
+                counts.append(joined.count(",") + 1 if joined else 0)
                 digests.append(sha256(joined.encode()).hexdigest())
-                decoded.append(sha256(codec.decode(ids.tolist()).encode()).hexdigest())
+                decoded.append(sha256(back.encode()).hexdigest())
             arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
