@@ -202,8 +202,8 @@ def _pooled_texts(texts: pa.Array, vectors: np.ndarray, rows: TokenRows) -> Iter
             yield pooled(tokens[first : first + int(lengths[low:high].sum())], lengths[low:high], vectors)
 
 
-def _spans(lengths: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with at most ``most`` tokens together, or one text."""
+def _spans(lengths: np.ndarray, most: int = 1 << 12) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with at most ``most`` tokens together, whose vectors stay in the cache, or one text."""
     low = total = 0
     for i, n in enumerate(lengths.tolist()):
         if total + n > most and i > low:
