@@ -121,11 +121,15 @@ def sample_by_language(learning: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     A document is drawn if the hash of its id and text is below the share its
     language needs, so nothing is ranked and a large language costs no more.
+    The sizes of the languages are broadcast; there are as many as centroids fit.
     """
-    sizes = learning.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    sizes = save_and_reload(learning.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "language-sizes")
+    languages, room = sizes.count(), CENTROID_BYTES // (4 * DIM)
+    if languages > room:
+        raise ValueError(f"{languages} languages do not fit into {room} centroids")
     share = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("size")) * float(1 << 32)
     hashed = learning.select("lang", "text", F.xxhash64("doc_id", "text").alias("drawn"))
-    kept = hashed.join(sizes, "lang").where(F.pmod("drawn", F.lit(1 << 32)) < share)
+    kept = hashed.join(F.broadcast(sizes), "lang").where(F.pmod("drawn", F.lit(1 << 32)) < share)
     return kept.dropDuplicates(["lang", "drawn"]).select("lang", "text", "drawn")
 
 
@@ -168,10 +172,7 @@ def fit(docs: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -> Ce
     idf = np.log((1 + size) / (1 + frequency)) + 1
     drawn = save_and_reload(sample_by_language(learning, sample), "language-sample")
     languages = drawn.select("lang").distinct().count()
-    room = CENTROID_BYTES // (4 * DIM)
-    if languages > room:
-        raise ValueError(f"{languages} languages do not fit into {room} centroids")
-    many = max(1, min(centroids, room // max(languages, 1)))
+    many = max(1, min(centroids, CENTROID_BYTES // (4 * DIM) // max(languages, 1)))
 
     def fit_one(rows: pa.Table) -> pa.Table:
         order = np.argsort(rows.column("drawn").to_numpy(), kind="stable")
