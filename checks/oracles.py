@@ -454,6 +454,13 @@ SELECT {replaced('total_amount_24h avg_txn_amount_24h peak_fraud_score avg_fraud
     "incremental_kpi": f"WITH {VIEWS} SELECT {replaced('total_volume_usd_1h at_risk_usd_1h')} FROM kpi",
     "incremental_summary": f"""
 WITH {VIEWS} SELECT {replaced('fraud_amount_at_risk avg_fraud_score max_fraud_score')} FROM summary""",
+    "sketched_kpi_error": f"""
+WITH {VIEWS}
+SELECT active_users_1h, critical_users, true AS active_users_1h_near, true AS critical_users_near FROM kpi""",
+    "sketched_windows": f"WITH {WINDOWS} SELECT {replaced(WINDOW_SUMS)} FROM win",
+    "stream_quartiles": f"""
+WITH {ALL_TX}
+SELECT user_id, count(*) AS amounts, true AS q1_near, true AS q3_near FROM tx GROUP BY user_id""",
     "compacted_scores": f"WITH {SCORES} SELECT {SCORED} FROM scores",
     "replayed_sink": f"WITH {SCORES} SELECT {SCORED} FROM scores",
     "txn_time_features": f"WITH {PER_TX} SELECT {replaced('log_amount')} FROM clocked",

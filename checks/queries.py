@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.config import DetectionConfig, ForestConfig, ScoreConfig, ViewConfig, WindowConfig
+from tallywatch.functions.sketches import RANK_ERROR, distinct_error
 from tallywatch.functions.times import epoch_micros, micros_of
 from tallywatch.operators import health, measures, transaction_features as tf, transaction_rules as rules
 from tallywatch.operators.isolation_forest import (
@@ -48,6 +49,7 @@ from tallywatch.sources.tables import (
 )
 from tallywatch.streaming.detection import start, start_dead_letters, start_detection
 from tallywatch.streaming.publishing import Target, publish_batch
+from tallywatch.streaming.quartiles import quartile_bounds, quartile_writer, sketches_upto
 from tallywatch.streaming.sinks import batch_folder_writer, score_writer, with_fallback
 from tallywatch.streaming.stateful import trailing_stream_features
 
@@ -278,14 +280,14 @@ def score_batches(spark: SparkSession, sf: str, many: int) -> list[DataFrame]:
     return [rows.filter(F.pmod(F.xxhash64("user_id"), F.lit(many)) == i) for i in range(many)]
 
 
-def refreshed_in_steps(spark: SparkSession, sf: str) -> str:
+def refreshed_in_steps(spark: SparkSession, sf: str, approximate: bool = False) -> str:
     """Three batches, each followed by a refresh from new batches only; returns where the views are."""
     path = shared_dir(spark, "store")
     latest = as_of(spark, sf)
     never_fresh = {name: "0 seconds" for name in ("fraud_summary_1min", "user_risk_profile", "fraud_alerts", "dashboard_kpi")}
     for number, batch in enumerate(score_batches(spark, sf, 3)):
         append_batch(batch, f"{path}/scores", number)
-        refresh_due(spark, f"{path}/scores", f"{path}/views", latest, CONFIG.views, never_fresh)
+        refresh_due(spark, f"{path}/scores", f"{path}/views", latest, CONFIG.views, never_fresh, approximate)
     return f"{path}/views"
 
 
@@ -299,6 +301,43 @@ def incremental_kpi_row(spark: SparkSession, sf: str) -> DataFrame:
     return settle(row, "total_volume_usd_1h", "at_risk_usd_1h")
 
 
+def sketched_kpi_error(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact distinct users of the KPI row, and whether the sketches' estimates are within their error."""
+    estimates = read_view(spark, refreshed_in_steps(spark, sf, approximate=True), "dashboard_kpi").first()
+    exact = kpi(spark, sf).select("active_users_1h", "critical_users")
+    near = [
+        (F.abs(F.lit(estimates[name]) - F.col(name)) <= distinct_error() * F.col(name)).alias(f"{name}_near")
+        for name in exact.columns
+    ]
+    return exact.select("*", *near)
+
+
+def sketched_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Window features with sketches of countries; a few countries are counted exactly by a sketch, too."""
+    return settle(window_features(transactions(spark, sf), CONFIG.window, approximate=True), *WINDOW_SUMS)
+
+
+def stream_quartiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Quartiles from the sketches a stream leaves, by whether their ranks among all amounts are within the error."""
+    path = shared_dir(spark, "stream")
+    stream = valid_amounts(transactions_from_events(event_stream(spark, sf))).select("transaction_id", "user_id", "amount")
+    writer = quartile_writer(batch_folder_writer(f"{path}/rows"), f"{path}/state")
+    query = start(stream, writer, f"{path}/checkpoint", available_now=True)
+    query.awaitTermination()
+    flagged = spark.read.parquet(f"{path}/rows")
+    last = flagged.agg(F.max("batch_id")).first()[0]
+    bounds = quartile_bounds(sketches_upto(spark, f"{path}/state", str(query.id), last))
+    judged = flagged.join(bounds, "user_id").groupBy("user_id")
+    n = F.count(F.lit(1))
+
+    def near(quartile: str, rank: float) -> Column:
+        below = F.count_if(F.col("amount") < F.col(quartile)) / n
+        upto = F.count_if(F.col("amount") <= F.col(quartile)) / n
+        return (below <= rank + RANK_ERROR) & (upto >= rank - RANK_ERROR)
+
+    return judged.agg(n.alias("amounts"), near("q1", 0.25).alias("q1_near"), near("q3", 0.75).alias("q3_near"))
+
+
 def incremental_summary_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = read_view(spark, refreshed_in_steps(spark, sf), "fraud_summary_1min")
     return settle(rows, "fraud_amount_at_risk", "avg_fraud_score", "max_fraud_score")
@@ -641,6 +680,9 @@ QUERIES: dict[str, Query] = {
     "refreshed_incremental": refreshed_incremental,
     "incremental_kpi": incremental_kpi_row,
     "incremental_summary": incremental_summary_rows,
+    "sketched_kpi_error": sketched_kpi_error,
+    "sketched_windows": sketched_windows,
+    "stream_quartiles": stream_quartiles,
     "compacted_scores": compacted_scores,
     "replayed_sink": replayed_sink,
     "txn_time_features": time_features,

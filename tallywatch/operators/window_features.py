@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.config import WindowConfig
 from tallywatch.functions.moments import sample_stddev, squared_deviation
+from tallywatch.functions.sketches import distinct_estimate, distinct_sketch, merged_distincts
 from tallywatch.functions.times import interval, micros_of
 
 FEATURE_COLUMNS = (
@@ -22,12 +23,17 @@ FEATURE_COLUMNS = (
 )
 
 
-def direct_window_features(transactions: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
+def direct_window_features(
+    transactions: DataFrame, cfg: WindowConfig = WindowConfig(), approximate: bool = False
+) -> DataFrame:
     """One grouped aggregate over ``window``; the form a stream can run.
 
     Distinct countries are kept as a set, which a stream accepts and which is
-    bounded by the number of countries.
+    bounded by the number of countries. ``approximate`` keeps a sketch in its
+    place, whose size is bounded whatever the values are.
     """
+    exact = F.size(F.collect_set("merchant_country")).cast("long")
+    sketched = distinct_estimate(distinct_sketch(F.col("merchant_country")))
     grouped = transactions.groupBy(
         F.window("event_time", cfg.length, cfg.slide).alias("w"), "user_id"
     ).agg(
@@ -36,14 +42,16 @@ def direct_window_features(transactions: DataFrame, cfg: WindowConfig = WindowCo
         F.avg("amount").alias("avg_amount_1h"),
         F.stddev_samp("amount").alias("stddev_amount_1h"),
         F.max("amount").alias("max_amount_1h"),
-        F.size(F.collect_set("merchant_country")).cast("long").alias("country_count_1h"),
+        (sketched if approximate else exact).alias("country_count_1h"),
     )
     return grouped.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *FEATURE_COLUMNS[2:]
     )
 
 
-def window_features(transactions: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
+def window_features(
+    transactions: DataFrame, cfg: WindowConfig = WindowConfig(), approximate: bool = False
+) -> DataFrame:
     """The same measures for stored tables, without copying rows per window.
 
     Rows are first reduced to panes of one slide per user and country, and
@@ -53,16 +61,24 @@ def window_features(transactions: DataFrame, cfg: WindowConfig = WindowConfig())
 
     A window's spread is that of its panes around the window mean, so the mean
     is attached to the panes before they are added up.
+
+    With ``approximate`` a pane holds a sketch of its countries instead of a
+    row for each; windows merge the sketches of their panes.
     """
     length, slide = micros_of(cfg.length), micros_of(cfg.slide)
     if length % slide:
-        return direct_window_features(transactions, cfg)
-
+        return direct_window_features(transactions, cfg, approximate)
+
+    if approximate:
+        keys, countries = ["user_id"], [distinct_sketch(F.col("merchant_country")).alias("countries")]
+        distinct = distinct_estimate(merged_distincts(F.col("countries")))
+    else:
+        keys, countries = ["user_id", "merchant_country"], []
+        distinct = F.count_distinct("merchant_country")
     panes = (
-        transactions.groupBy(
-            F.window("event_time", cfg.slide).alias("w"), "user_id", "merchant_country"
-        )
+        transactions.groupBy(F.window("event_time", cfg.slide).alias("w"), *keys)
         .agg(
+            *countries,
             F.count("transaction_id").alias("rows"),
             F.count("amount").alias("n"),
             F.sum("amount").alias("s"),
@@ -70,7 +86,7 @@ def window_features(transactions: DataFrame, cfg: WindowConfig = WindowConfig())
             F.min("amount").alias("low"),
             F.max("amount").alias("high"),
         )
-        .select("user_id", "merchant_country", F.col("w.start").alias("pane"), "rows", "n", "s", "m2", "low", "high")
+        .select(*keys, *(["countries"] if approximate else []), F.col("w.start").alias("pane"), "rows", "n", "s", "m2", "low", "high")
         .repartition("user_id")
     )
     first = F.col("pane") - interval(cfg.slide) * (length // slide - 1)
@@ -89,7 +105,7 @@ def window_features(transactions: DataFrame, cfg: WindowConfig = WindowConfig())
             F.sum("m2").alias("m2"),
             F.min("low").alias("low"),
             F.max("high").alias("max_amount_1h"),
-            F.count_distinct("merchant_country").alias("country_count_1h"),
+            distinct.alias("country_count_1h"),
         )
     )
     # Equal amounts have no spread at all, not even a rounding error's worth.

@@ -2,7 +2,7 @@
 
 Every intake (a take) aggregates the rows of batches not seen before into
 mergeable parts: per minute of window start, per user and hour of processing,
-and the rows that alert. A ledger names the batches of each take; views merge
+per hour with sketches of the users seen, and the rows that alert. A ledger names the batches of each take; views merge
 the parts of the takes that count. Of older rows only the hour in which a
 lookback begins is read again, as it lies on both sides of the limit.
 
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +25,7 @@ from pyspark.sql import types as T
 from tallywatch.config import ViewConfig
 from tallywatch.functions.labels import is_critical, risk_tier
 from tallywatch.functions.moments import count_where, safe_percentage, sum_where
+from tallywatch.functions.sketches import distinct_estimate, distinct_sketch, merged_distincts
 from tallywatch.functions.times import epoch_millis, interval, recent
 from tallywatch.plans.refresh import TARGET_LAG, last_refreshed, publish_views
 from tallywatch.plans.views import alert_rows
@@ -49,11 +49,17 @@ class Part:
     keys: tuple[str, ...]
     sums: tuple[str, ...] = ()
     maxima: tuple[str, ...] = ()
+    distincts: tuple[str, ...] = ()
+
+    def merging(self) -> list[Column]:
+        return [
+            *[F.sum(c).alias(c) for c in self.sums],
+            *[F.max(c).alias(c) for c in self.maxima],
+            *[merged_distincts(F.col(c)).alias(c) for c in self.distincts],
+        ]
 
     def merged(self, rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*(keys or self.keys)).agg(
-            *[F.sum(c).alias(c) for c in self.sums], *[F.max(c).alias(c) for c in self.maxima]
-        )
+        return rows.groupBy(*(keys or self.keys)).agg(*self.merging())
 
 
 MINUTES = Part(
@@ -82,7 +88,12 @@ USERS = Part(
     ),
     ("last_seen_at", "max_single_txn", "max_country_velocity", "peak_fraud_score"),
 )
-PARTS = ("minutes", "users", "alerts")
+HOURS = Part(
+    ("slot",),
+    ("total_txn", "total_amount", "fraud_flags_count", "at_risk", "latency_sum", "latency_count"),
+    distincts=("users", "critical_users"),
+)
+PARTS = ("minutes", "users", "hours", "alerts")
 
 
 def _slot(ts: Column) -> Column:
@@ -128,7 +139,24 @@ def user_parts(rows: DataFrame) -> DataFrame:
     )
 
 
-_BUILD = {"minutes": minute_parts, "users": user_parts, "alerts": alert_rows}
+def hour_parts(rows: DataFrame) -> DataFrame:
+    """A row an hour, however many users there are."""
+    suspected = F.col("is_fraud_suspected")
+    latency = epoch_millis(F.col("processed_at")) - epoch_millis(F.col("window_start"))
+    return rows.groupBy(_slot(F.col("processed_at")).alias("slot")).agg(
+        F.sum("txn_count_1h").alias("total_txn"),
+        F.sum("total_amount_1h").alias("total_amount"),
+        count_where(suspected).alias("fraud_flags_count"),
+        sum_where(suspected, F.col("total_amount_1h")).alias("at_risk"),
+        F.sum(latency).alias("latency_sum"),
+        F.count(latency).alias("latency_count"),
+        distinct_sketch(F.col("user_id")).alias("users"),
+        distinct_sketch(F.when(is_critical(F.col("fraud_score")), F.col("user_id"))).alias("critical_users"),
+    )
+
+
+_BUILD = {"minutes": minute_parts, "users": user_parts, "hours": hour_parts, "alerts": alert_rows}
+_MERGE = {"minutes": MINUTES, "users": USERS, "hours": HOURS}
 
 
 # -- takes ------------------------------------------------------------------------
@@ -189,8 +217,8 @@ def fold(snapshot: Snapshot, views_path: str, at: int = FOLD_AT) -> bool:
     if len(takes) < at:
         return False
     read = {name: _read_part(snapshot.spark, views_path, takes, name) for name in PARTS}
-    merged = {"minutes": MINUTES.merged(read["minutes"]), "users": USERS.merged(read["users"]), "alerts": read["alerts"]}
-    _publish_take(merged, counted, views_path)
+    folded = {name: _MERGE[name].merged(rows) if name in _MERGE else rows for name, rows in read.items()}
+    _publish_take(folded, counted, views_path)
     return True
 
 
@@ -214,8 +242,8 @@ def _read_part(spark: SparkSession, views_path: str, takes: list[str], name: str
 # -- views ------------------------------------------------------------------------
 
 
-def _recent_user_parts(snapshot: Snapshot, parts: DataFrame, as_of: Column, lookback: str) -> DataFrame:
-    """User parts of the lookback: whole slots, and the rows of the slot it begins in."""
+def _recent_parts(snapshot: Snapshot, name: str, parts: DataFrame, as_of: Column, lookback: str) -> DataFrame:
+    """Parts of the lookback: whole slots, and the rows of the slot it begins in."""
     begin = as_of - interval(lookback)
     whole = parts.filter(F.col("slot") >= begin)
     rows = snapshot.rows().filter(
@@ -224,7 +252,7 @@ def _recent_user_parts(snapshot: Snapshot, parts: DataFrame, as_of: Column, look
         # the slot ends on the same day: older and newer files are not listed
         & (F.col(DATE_COLUMN) == F.to_date(begin))
     )
-    return whole.unionByName(user_parts(rows))
+    return whole.unionByName(_BUILD[name](rows))
 
 
 def incremental_summary(parts: DataFrame) -> DataFrame:
@@ -278,10 +306,28 @@ def incremental_kpi(parts: DataFrame, as_of: Column) -> DataFrame:
     ).select(as_of.alias("refreshed_at"), "*")
 
 
+def sketched_kpi(parts: DataFrame, as_of: Column) -> DataFrame:
+    """The KPI row from hour parts: a row an hour is read, distinct users are estimates."""
+    return parts.agg(*HOURS.merging()).select(
+        as_of.alias("refreshed_at"),
+        distinct_estimate(F.col("users")).alias("active_users_1h"),
+        F.col("total_txn").alias("total_transactions_1h"),
+        F.col("total_amount").alias("total_volume_usd_1h"),
+        F.col("fraud_flags_count").alias("fraud_alerts_1h"),
+        F.col("at_risk").alias("at_risk_usd_1h"),
+        F.round(F.try_divide("latency_sum", "latency_count"), 0).alias("avg_detection_latency_ms"),
+        distinct_estimate(F.col("critical_users")).alias("critical_users"),
+    )
+
+
 def incremental_views(
-    snapshot: Snapshot, views_path: str, as_of: Column, cfg: ViewConfig = ViewConfig()
+    snapshot: Snapshot, views_path: str, as_of: Column, cfg: ViewConfig = ViewConfig(), approximate: bool = False
 ) -> dict[str, DataFrame]:
-    """The four views as of a time, from the takes that count."""
+    """The four views as of a time, from the takes that count.
+
+    ``approximate`` takes the KPI row from hours and their sketches instead of
+    from users and hours.
+    """
     takes = _takes(counted_batches(snapshot, views_path))
     if not takes:
         none = snapshot.rows()
@@ -289,14 +335,15 @@ def incremental_views(
     else:
         read = {name: _read_part(snapshot.spark, views_path, takes, name) for name in PARTS}
 
-    def users(lookback: str) -> DataFrame:
-        return _recent_user_parts(snapshot, read["users"], as_of, lookback)
+    def part(name: str, lookback: str) -> DataFrame:
+        return _recent_parts(snapshot, name, read[name], as_of, lookback)
 
+    kpi = sketched_kpi(part("hours", cfg.kpi_lookback), as_of) if approximate else incremental_kpi(part("users", cfg.kpi_lookback), as_of)
     return {
         "fraud_summary_1min": incremental_summary(read["minutes"]),
-        "user_risk_profile": incremental_profile(users(cfg.profile_lookback)),
+        "user_risk_profile": incremental_profile(part("users", cfg.profile_lookback)),
         "fraud_alerts": read["alerts"].filter(recent(F.col("alert_generated_at"), as_of, cfg.alert_lookback)),
-        "dashboard_kpi": incremental_kpi(users(cfg.kpi_lookback), as_of),
+        "dashboard_kpi": kpi,
     }
 
 
@@ -322,6 +369,7 @@ def refresh_due(
     as_of: Column | None = None,
     cfg: ViewConfig = ViewConfig(),
     lags: dict[str, str] = TARGET_LAG,
+    approximate: bool = False,
 ) -> list[str]:
     """Take in new batches and publish the views that are due; returns their names.
 
@@ -334,10 +382,6 @@ def refresh_due(
         snapshot = open_snapshot(spark, scores_path)
         take_in(snapshot, views_path)
         fold(snapshot, views_path)
-        _publish(snapshot, views_path, stamp, cfg, names)
+        views = incremental_views(snapshot, views_path, stamp, cfg, approximate)
+        publish_views(spark, {name: views[name] for name in names}, views_path, stamp)
     return names
-
-
-def _publish(snapshot: Snapshot, views_path: str, stamp: Column, cfg: ViewConfig, names: Iterable[str]) -> None:
-    views = incremental_views(snapshot, views_path, stamp, cfg)
-    publish_views(snapshot.spark, {name: views[name] for name in names}, views_path, stamp)

@@ -14,15 +14,19 @@ from tallywatch.streaming.sinks import BatchWriter
 
 
 def streaming_features(
-    transactions: DataFrame, cfg: DetectionConfig = DetectionConfig(), once_per_id: bool = False
+    transactions: DataFrame,
+    cfg: DetectionConfig = DetectionConfig(),
+    once_per_id: bool = False,
+    approximate: bool = False,
 ) -> DataFrame:
     """Window features of a stream; a window is final when the watermark
     passes its end. ``once_per_id`` drops repeats of a transaction that arrive
-    within the watermark."""
+    within the watermark, ``approximate`` counts countries by a sketch, which
+    bounds the state of a window and user."""
     marked = transactions.withWatermark("event_time", cfg.window.watermark)
     if once_per_id:
         marked = marked.dropDuplicatesWithinWatermark(["transaction_id"])
-    return direct_window_features(marked, cfg.window)
+    return direct_window_features(marked, cfg.window, approximate)
 
 
 def streaming_scores(
