@@ -16,13 +16,15 @@ otherwise the query fails.
 
 Defined results: a null html is the empty payload; rows that repeat the
 responding page_id are each a response; a null page_id is a revisit where
-some page with that payload has an id, else a response; line breaks in urls
-are percent-encoded and a null url leaves its field out; an empty table gives
+some page with that payload has an id, else a response; control characters and
+line separators in urls are percent-encoded and a null url leaves its field out; an empty table gives
 an empty archive. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,10 @@ def base32_of_hex(digest: Column) -> Column:
     return F.translate(F.upper(F.concat(*groups)), CONV_DIGITS, BASE32_DIGITS)
 
 
+# control characters and line separators, which would end a field or hide in it
+NOT_IN_FIELDS = [*map(chr, range(0x20)), *map(chr, range(0x7F, 0xA0)), "\u2028", "\u2029"]
+
+
 def _record_id(page_id: Column, digest: Column) -> Column:
     h = F.md5(F.concat_ws("|", page_id.cast("string"), digest).cast("binary"))
     parts = [F.substring(h, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
@@ -86,7 +92,10 @@ def _with_heads(rows: DataFrame, least_bytes: int) -> DataFrame:
     )
     revisit = F.col("record_type") == "revisit"
     length = F.octet_length("http_head") + F.when(revisit, F.lit(0)).otherwise(F.col("n"))
-    url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    encoded = F.col("url")
+    for character in NOT_IN_FIELDS:
+        encoded = F.replace(encoded, F.lit(character), F.lit(quote(character)))
+    url = F.when(F.col("url").rlike(f"[{''.join(NOT_IN_FIELDS)}]"), encoded).otherwise(F.col("url"))
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
         field("WARC-Type", F.col("record_type")),
@@ -135,7 +144,7 @@ def parse_records(records: DataFrame) -> DataFrame:
     cut = cut.select("head", "block", (F.position(gap, F.col("block")) + F.lit(3)).alias("http_size"))
 
     def field(text: str, name: str) -> Column:
-        found = F.regexp_extract(F.col(text), rf"(?m)^{name}: ([^\r\n]*)", 1)
+        found = F.regexp_extract(F.col(text), rf"(?md)^{name}: ([^\r\n]*)", 1)
         return F.when(found == "", F.lit(None)).otherwise(found)
 
     parts = cut.select(
