@@ -32,7 +32,7 @@ from tallywatch.llm.common import fresh
 
 # The pattern belongs to the vocabulary format: fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 48
 
 
