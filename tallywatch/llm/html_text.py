@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -26,13 +27,15 @@ from pyspark.sql import functions as F
 # a comment, an element of raw text, a tag, a declaration, or a tag cut off by the end of the page
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|textarea|xmp)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(script|style|title|textarea|xmp)(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)"
+    # quotes hold a value only right after an equals sign
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)>"
     r"|<[!?][^>]*+>"
     r"|<[a-zA-Z/!?][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
-NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s/=>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+")
+NAMED = frozenset(("class", "id", "role", "hidden", "aria-hidden"))
 TOKEN = re.compile(r"[a-z]+")
 
 INLINE = frozenset(
@@ -51,6 +54,16 @@ ASIDE_WORDS = frozenset(
 )
 # names with one of these say how a page is laid out, not what the element is
 STATE_WORDS = frozenset("active allowed closed disabled enabled has hide no off on open show with without".split())
+# whole names of a wrapper around an article and what stands beside it
+WRAPPERS = frozenset(("layout", "page"))
+# words that within an article may name one of its sections
+SUBJECTS = frozenset("copyright disclaimer discussion legal login menu reply respond signup social subscribe".split())
+# words that only say which part of a page or which kind of box a name means
+PARTS = frozenset(
+    "area article bar block bottom box button buttons center column container content entry feed fixed floating form "
+    "group holder inline inner item items left link links list main middle page panel post posts rail region right "
+    "section side site slot space sticky story strip tags thread top unit wrap wrapper zone".split()
+)
 ARTICLE_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 # an opening tag of the key ends an open one of the same group, unless a tag of the value is in between
@@ -83,22 +96,43 @@ class _Open:
     heading: bool = False
 
 
-def _names_aside(value: str) -> bool:
-    """Whether a class or id has a name that begins or ends with a word for asides."""
-    for name in value.split():
-        parts = TOKEN.findall(name)
-        if parts and (parts[0] in ASIDE_WORDS or parts[-1] in ASIDE_WORDS) and STATE_WORDS.isdisjoint(parts):
-            return True
+@lru_cache(maxsize=1 << 14)
+def _names_aside(value: str, in_article: bool, section: bool) -> bool:
+    """Whether a class or id names an aside.
+
+    Outside an article a name counts that begins or ends with a word for asides. Within one all
+    its words must be of asides or of boxes, as related-work or comment-free may be its text, and
+    the name of a section must not be a subject.
+    """
+    names = value.split()
+    if not WRAPPERS.isdisjoint(names):
+        return False
+    for name in names:
+        parts = [part for part in TOKEN.findall(name) if len(part) > 1]
+        if not parts or not STATE_WORDS.isdisjoint(parts):
+            continue
+        if not in_article:
+            if parts[0] in ASIDE_WORDS or parts[-1] in ASIDE_WORDS:
+                return True
+        elif ASIDE_WORDS.issuperset(set(parts) - PARTS):
+            found = ASIDE_WORDS.intersection(parts)
+            if found and not (section and found <= SUBJECTS):
+                return True
     return False
 
 
 def _opened(tag: str, attributes: str, outer: _Open) -> _Open:
     aside_name = False
-    if attributes and "=" in attributes or "hidden" in attributes:
-        for name, *values in NAMED.findall(attributes):
-            name, value = name.lower(), "".join(values).lower()
+    if "=" in attributes or "hidden" in attributes.lower():
+        for name, *values in ATTRIBUTE.findall(attributes):
+            name = name.lower()
+            if name not in NAMED:
+                continue
+            value = unescape("".join(values)).lower().strip()
             if name in ("class", "id"):
-                aside_name |= tag not in ("html", "body") and _names_aside(value)
+                # an id is an anchor of a section, and so may be its heading's words
+                section = tag == "section" or tag in HEADINGS or name == "id"
+                aside_name |= tag not in ("html", "body") and _names_aside(value, outer.article, section)
             elif name == "role":
                 aside_name |= value in ASIDE_ROLES
             else:
@@ -271,6 +305,9 @@ def labelled_pages() -> list[str]:
     def menu(n: int, words: int = 1) -> str:
         return "<ul>" + "".join(f"<li><a href='#'>{_filled('side', words)}</a></li>" for _ in range(n)) + "</ul>"
 
+    def linked(n: int) -> str:
+        return f"<a href='#'>{_filled('main', n)}</a>"
+
     ad = side(9, "div", ' class="ad"')
     pages = [
         # an article between a menu and a footer, with short and long paragraphs
@@ -297,9 +334,27 @@ def labelled_pages() -> list[str]:
         # wrappers named after what stands beside the article
         f"<body class='has-sidebar comments-open'><div class='no-sidebar'>{p(4, 'h1')}{p(50)}{p(20)}</div></body>",
         f"<div class='sidebar-left'><main>{p(4, 'h1')}{p(40)}{p(12)}</main></div><div class='sidebar'>{side(30)}</div>",
-        # links within prose do not make it a menu; link lists inside an article are its text
+        # links within prose do not make it a menu
         f"<article>{p(2, 'h1')}<p>main word <a>word word</a> word word word word</p>{p(22)}<p>main <a>word word word</a></p></article>",
+        # sections of an article whose names also occur beside articles
+        f"<article>{p(3, 'h2', ' id=discussion')}{p(30, 'section', ' id=legal')}{p(40, 'div', ' class=related-work')}</article>",
     ]
+    # whole links and lists of them inside an article are its text, whatever stands before and after
+    links = "<ul>" + "".join(f"<li>{linked(n)}</li>" for n in (1, 2, 4)) + "</ul>"
+    for wrapper in ("article", "main"):
+        for before in ("", p(1), p(14), p(70), linked(5), links):
+            for n in (1, 2, 4, 9, 20, 100):
+                pages.append(f"<{wrapper}>{before}{p(n)}</{wrapper}><footer>{side(8)}</footer>")
+                pages.append(f"<header>{side(n)}</header><{wrapper}>{before}{p(12)}</{wrapper}><footer>{side(n)}</footer>")
+                pages.append(f"<{wrapper}>{p(n)}{before}</{wrapper}><nav>{menu(4, 2)}</nav>")
+                pages.append(f"<{wrapper}>{before}<p>{linked(n)}</p>{before}</{wrapper}><div>{menu(3, 2)}</div>")
+                pages.append(f"<{wrapper}>{before}{side(n, 'aside')}{before}{side(n, 'div', ' class=comments')}</{wrapper}>")
+    # an element that says it stands beside the text does so at any length, with or without an article
+    prose = f"<div>{p(4, 'h1')}{p(45)}{p(30)}</div>"
+    for n in (1, 3, 7, 15, 40, 90):
+        for beside in ("nav", "footer", "aside", "form", "div class=sidebar", "div role=banner"):
+            beside = f"<{beside}>{side(n)}{side(2 * n)}</{beside.split()[0]}>"
+            pages += [f"{beside}{prose}", f"{prose}{beside}", f"{beside}<article>{p(20)}</article>{beside}"]
     return pages
 
 
