@@ -36,6 +36,7 @@ from tallywatch.llm.common import column_or_null, fresh, save_and_reload, text_b
 
 LANGUAGE_SHARE = 0.002
 LEAST_WORDS = 2_000
+SHARES = 64
 EVERY = "*"
 SYMBOLS = b"#*$%&|<>"
 CLASSES = ("lower", "upper", "other letter", "digit", "blank", "line end", "stop", "symbol", "other")
@@ -218,10 +219,13 @@ def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> d
         parts.append(own.join(large, "lang").select("lang", "item", "n", "total"))
     both = parts[0].unionByName(parts[1])
     found: dict[str, Reference] = {}
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
-    common = both.where(~is_class).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limits.common)
+    # a language's words are ranked in shares first, so that no task gets more than the best of each share
+    common = both.where(~is_class).withColumn("share", F.pmod(F.xxhash64("item"), F.lit(SHARES)))
+    for place in (("lang", "share"), ("lang",)):
+        order = Window.partitionBy(*place).orderBy(F.desc("n"), "item")
+        common = common.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limits.common).drop("rank")
     rows: dict[str, list] = {}
-    for row in common.drop("rank").union(both.where(is_class)).collect():
+    for row in common.drop("share").union(both.where(is_class)).collect():
         rows.setdefault(row.lang, []).append(row)
     for lang, own in rows.items():
         classes = np.zeros(len(CLASSES))
