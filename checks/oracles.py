@@ -559,6 +559,43 @@ SELECT counted.*,
        {settled('true_positives::DOUBLE / nullif(true_positives + false_negatives, 0)')} AS recall,
        {settled('false_positives::DOUBLE / nullif(false_positives + true_negatives, 0)')} AS false_positive_rate
 FROM counted""",
+    "score_quality": f"""
+WITH {ALL_TX},
+counted AS (SELECT amount AS score, count(*) AS n, count(*) FILTER (k >= 97) AS hits FROM tx GROUP BY 1),
+swept AS (
+  SELECT *, (sum(n) OVER w)::BIGINT AS flagged, (sum(hits) OVER w)::BIGINT AS caught,
+         (sum(n) OVER ())::BIGINT AS n_all, (sum(hits) OVER ())::BIGINT AS hits_all
+  FROM counted WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
+),
+best AS (
+  SELECT 2::DOUBLE * caught / (flagged + hits_all) AS best_f1, score AS best_f1_score
+  FROM swept ORDER BY best_f1 DESC, score DESC LIMIT 1
+),
+cut AS (
+  SELECT score AS score_limit, flagged, caught FROM swept
+  WHERE flagged >= ceil(n_all * 0.02::DOUBLE) ORDER BY score DESC LIMIT 1
+),
+whole AS (
+  SELECT any_value(n_all) AS n_rows, any_value(hits_all) AS positives,
+         sum((n - hits) * (caught - hits / 2::DOUBLE)) AS area
+  FROM swept
+)
+SELECT n_rows, positives, {settled('area / (positives::DOUBLE * (n_rows - positives))')} AS auc, score_limit, flagged,
+       {settled('caught::DOUBLE / flagged')} AS precision, {settled('caught::DOUBLE / positives')} AS recall,
+       {settled('best_f1')} AS best_f1, best_f1_score
+FROM whole, cut, best""",
+    "stored_reports": f"""
+WITH {BODIES}, {OFFSETS},
+checks AS (SELECT (SELECT max(ts) FROM events) - to_days(i::INTEGER) AS report_time FROM range(7) r(i)),
+rejected AS (SELECT event_time FROM bodies WHERE error IS NOT NULL),
+reports AS (
+  SELECT report_time, (SELECT lag FROM lag) AS kafka_lag, count(event_time) AS dlq_count
+  FROM checks LEFT JOIN rejected ON event_time > report_time - INTERVAL 1 DAY AND event_time <= report_time
+  GROUP BY report_time
+)
+SELECT *, (kafka_lag > 5000)::BIGINT + (dlq_count > 5)::BIGINT AS alerts FROM reports""",
+    "stopped_and_resumed": f"""
+WITH {ALL_TX} SELECT user_id, count(*) AS txn_count, {settled('sum(amount)')} AS total_amount FROM tx GROUP BY user_id""",
     "offset_lag": f"""
 WITH {OFFSETS} SELECT 'detector' AS "group", 'transactions' AS topic, lag FROM lag""",
     "query_cost_summary": """

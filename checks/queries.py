@@ -22,6 +22,7 @@ from tallywatch.operators.isolation_forest import (
     fit_scaler,
     train_isolation_forest,
 )
+from tallywatch.operators.ranking_quality import ranking_quality
 from tallywatch.operators.scoring import rule_flags, zscore_flags
 from tallywatch.operators.trailing import trailing_stats
 from tallywatch.operators.window_features import non_overlapping, window_features
@@ -47,9 +48,11 @@ from tallywatch.sources.tables import (
     transactions_from_events,
     transactions_from_order_lines,
 )
+from tallywatch.streaming.control import BatchGate, run_until
 from tallywatch.streaming.detection import start, start_dead_letters, start_detection
 from tallywatch.streaming.publishing import Target, publish_batch
 from tallywatch.streaming.quartiles import quartile_bounds, quartile_writer, sketches_upto
+from tallywatch.streaming.reports import read_reports, report_alerts, store_report
 from tallywatch.streaming.sinks import batch_folder_writer, score_writer, with_fallback
 from tallywatch.streaming.stateful import trailing_stream_features
 
@@ -539,6 +542,13 @@ def detection_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return settle(rows, "precision", "recall", "false_positive_rate")
 
 
+def score_quality(spark: SparkSession, sf: str) -> DataFrame:
+    events = read_table(spark, sf, "events").filter("value > 0")
+    suspicious = F.get_json_object("props", "$.k").cast("int") >= 97
+    rows = ranking_quality(events, F.col("value"), suspicious, ForestConfig().contamination)
+    return settle(rows, "auc", "precision", "recall", "best_f1")
+
+
 # -- health -----------------------------------------------------------------------------
 
 
@@ -578,6 +588,22 @@ def monitor_report(spark: SparkSession, sf: str) -> DataFrame:
     return health.health_report(health.offset_lag(offsets_from_events(events)), tagged, latest, interval_sec=86_400.0)
 
 
+def stored_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """A check for each of the last seven days; two of them are repeated."""
+    path = shared_dir(spark, "reports")
+    events = read_table(spark, sf, "events")
+    tagged = save_and_reload(with_rejection(envelopes(events)).select("kafka_timestamp", "error"), "tagged")
+    lag = save_and_reload(health.offset_lag(offsets_from_events(events)), "lag")
+    latest, day = events.agg(F.max("ts")).first()[0], 86_400.0
+    for back in (*range(7), 0, 3):
+        at = F.lit(latest) - F.make_dt_interval(days=F.lit(back))
+        store_report(health.health_report(lag, tagged, at, day), path, day)
+    reports = read_reports(spark, path).select("report_time", "kafka_lag", "dlq_count")
+    broken = report_alerts(reports, health.monitor_rules(spark)).groupBy("report_time")
+    alerts = broken.agg(F.count(F.lit(1)).alias("alerts"))
+    return reports.join(alerts, "report_time", "left").fillna(0, ["alerts"])
+
+
 # -- model ------------------------------------------------------------------------------
 
 
@@ -604,6 +630,18 @@ def isolation_forest_scores(spark: SparkSession, sf: str) -> DataFrame:
     return forest.score(stored).select("transaction_id", "isolation_score", "is_anomaly_ml")
 
 
+def forest_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """How the forest ranks the test events' marks, which its features only partly show."""
+    stored = save_and_reload(vectors(spark, sf), "features")
+    forest = train_isolation_forest(stored, "transaction_id", cfg=ForestConfig())
+    marks = read_table(spark, sf, "events").select(
+        F.concat(F.lit("txn_"), "event_id").alias("transaction_id"),
+        (F.get_json_object("props", "$.k").cast("int") >= 97).alias("suspicious"),
+    )
+    rows = forest.score(stored).select("transaction_id", "isolation_score").join(marks, "transaction_id")
+    return ranking_quality(rows, -F.col("isolation_score"), F.col("suspicious"), ForestConfig().contamination)
+
+
 def forest_sample(spark: SparkSession, sf: str) -> DataFrame:
     """Draws per tree of the bootstrap sample: always the sample size."""
     rows = transactions(spark, sf).select("transaction_id", F.array("amount").alias("x"))
@@ -657,6 +695,25 @@ def stream_transaction_features(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stopped_and_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream is stopped after its second batch and resumed; its sink appends what it gets."""
+    path = shared_dir(spark, "stopped")
+    events = read_table(spark, sf, "events")
+    events.repartitionByRange(6, "event_id").write.parquet(f"{path}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
+    rows = valid_amounts(transactions_from_events(stream)).select("transaction_id", "user_id", "amount")
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("append").parquet(f"{path}/table")
+
+    for last in (1, None):
+        gate = BatchGate()
+        query = start(rows, gate.guard(append), f"{path}/checkpoint", CONFIG, available_now=True)
+        run_until(query, gate, lambda: last is not None and (gate.last or 0) >= last, poll_sec=0.05)
+    sums = spark.read.parquet(f"{path}/table").groupBy("user_id")
+    return settle(sums.agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("total_amount")), "total_amount")
+
+
 QUERIES: dict[str, Query] = {
     "parse_valid": parse_valid,
     "parse_lenient": parse_lenient,
@@ -712,16 +769,20 @@ QUERIES: dict[str, Query] = {
     "high_score_alerts": high_score_alerts,
     "kpi_cards": kpi_cards,
     "detection_metrics": detection_metrics,
+    "score_quality": score_quality,
     "offset_lag": offset_lag,
     "query_cost_summary": query_cost_summary,
     "latency_histogram": latency_histogram,
     "threshold_alerts": threshold_alerts,
     "monitor_report": monitor_report,
+    "stored_reports": stored_reports,
     "monitor_alerts": monitor_alerts,
     "scaler_fit": scaler_fit,
     "scaler_apply": scaler_apply,
     "forest_sample": forest_sample,
     "isolation_forest_scores": isolation_forest_scores,
+    "forest_quality": forest_quality,
+    "stopped_and_resumed": stopped_and_resumed,
     "synthetic_transactions": synthetic,
     "stream_window_features": stream_window_features,
     "stream_dead_letters": stream_dead_letters,

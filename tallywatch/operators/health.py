@@ -115,8 +115,8 @@ def dashboard_rules(spark: SparkSession, cfg: HealthConfig = HealthConfig()) ->
     )
 
 
-def evaluate_thresholds(metrics: DataFrame, rules: DataFrame) -> DataFrame:
-    """One alert row for every metric that breaks a rule of its name."""
+def evaluate_thresholds(metrics: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One alert row for every metric that breaks a rule of its name, with the columns ``keep`` of the metric."""
     broken = ((F.col("op") == ">") & (F.col("value") > F.col("threshold"))) | (
         (F.col("op") == "<") & (F.col("value") < F.col("threshold"))
     )
@@ -132,7 +132,7 @@ def evaluate_thresholds(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     return (
         metrics.join(rules, "name")
         .filter(broken)
-        .select("name", "value", "op", "threshold", "severity", message.alias("message"))
+        .select(*keep, "name", "value", "op", "threshold", "severity", message.alias("message"))
     )
 
 

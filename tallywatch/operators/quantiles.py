@@ -25,14 +25,14 @@ def grouped_quantiles(
     """One row per non-null key with linearly interpolated quantiles of ``value``.
 
     Bucket counts locate the bucket that holds each wanted rank, and only
-    values of those buckets are ranked, each bucket apart. Equal values are
-    counted before they are exchanged, so copies of one value cost one row.
+    values of those buckets are ranked, each bucket apart. Where the wanted
+    buckets are few enough to be broadcast, other values are not exchanged and
+    equal ones are counted first, so copies of one value cost one row.
     """
     keys = list(keys)
     valued = rows.dropna(subset=[*keys, value]).select(
         *keys, F.col(value).alias("_value"), _bucket(F.col(value), resolution).alias("_bucket")
     )
-    frequencies = valued.groupBy(*keys, "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n"))
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
     whole_key = Window.partitionBy(*keys)
     histogram = (
@@ -62,6 +62,9 @@ def grouped_quantiles(
         or_, [holds(r, F.col("_before"), F.col("_inside")) for q in quantiles.values() for r in ranks(q)]
     )
     targets = histogram.filter(wanted).select(*keys, "_bucket", "_before", "_total")
+    # values of other buckets are not exchanged where the targets are few enough to be broadcast
+    in_targets = valued.join(targets.select(*keys, "_bucket"), [*keys, "_bucket"], "left_semi")
+    frequencies = in_targets.groupBy(*keys, "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n"))
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_value")
     ranked = frequencies.join(targets, [*keys, "_bucket"]).withColumn(
         "_first",
