@@ -213,19 +213,20 @@ def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> d
     parts = []
     for place in (F.when(~F.startswith("lang", F.lit(EVERY)), F.col("lang")), F.col("script")):
         own = counted.select(place.alias("lang"), "item", "n").where("lang IS NOT NULL")
-        own = own.groupBy("lang", "item").agg(F.sum("n").alias("n"))
-        totals = own.where(~is_class).groupBy("lang").agg(F.sum("n").alias("total"))
-        large = totals.where((F.col("total") > floor) | (F.col("total") >= LEAST_WORDS))
-        parts.append(own.join(large, "lang").select("lang", "item", "n", "total"))
+        parts.append(own.groupBy("lang", "item").agg(F.sum("n").alias("n")))
     both = parts[0].unionByName(parts[1])
+    totals = both.where(~is_class).groupBy("lang").agg(F.sum("n").alias("total"))
+    large = totals.where((F.col("total") > floor) | (F.col("total") >= LEAST_WORDS))
     found: dict[str, Reference] = {}
-    # a language's words are ranked in shares first, so that no task gets more than the best of each share
+    # a language's words are ranked in shares first, so that no task gets more than the best of each
+    # share; totals come last, as a join of all words by language would undo that
     common = both.where(~is_class).withColumn("share", F.pmod(F.xxhash64("item"), F.lit(SHARES)))
     for place in (("lang", "share"), ("lang",)):
         order = Window.partitionBy(*place).orderBy(F.desc("n"), "item")
         common = common.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limits.common).drop("rank")
+    wanted = common.drop("share").union(both.where(is_class)).join(large, "lang")
     rows: dict[str, list] = {}
-    for row in common.drop("share").union(both.where(is_class)).collect():
+    for row in wanted.collect():
         rows.setdefault(row.lang, []).append(row)
     for lang, own in rows.items():
         classes = np.zeros(len(CLASSES))
