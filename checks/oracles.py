@@ -277,6 +277,79 @@ LONG = " UNION ALL ".join(
     for i, name in enumerate(MODEL)
 )
 
+
+
+# The forest: 200 trees of 256 draws, nodes numbered as in a heap.
+def hashed(text: str) -> str:
+    return f"('0x' || substr(md5('42:' || {text}), 1, 15))::BIGINT"
+
+
+def node_draw(number: int) -> str:
+    return f"(('0x' || substr(md5('42:0:' || tree_id || '/' || node), {1 + 8 * number}, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE)"
+
+
+def node_splits(source: str, over: str, columns: str, ending: str = "") -> str:
+    """Adds ``f`` (null: a leaf) and ``threshold`` of the node; ``over`` or ``ending`` says what its rows are."""
+    lows, highs = (f"[{', '.join(f'{end}(x[{i + 1}]){over}' for i in range(len(MODEL)))}]" for end in ("min", "max"))
+    return f"""(
+      SELECT * EXCLUDE (drawn), CASE WHEN drawn >= highs[f] THEN lows[f] ELSE drawn END AS threshold FROM (
+        SELECT *, lows[f] + {node_draw(1)} * (highs[f] - lows[f]) AS drawn FROM (
+          SELECT *, CASE WHEN depth < deepest THEN usable[1 + floor({node_draw(0)} * len(usable))::INT] END AS f FROM (
+            SELECT *, list_filter({list(range(1, len(MODEL) + 1))}, lambda i: highs[i] > lows[i]) AS usable FROM (
+              SELECT {columns}, {lows} AS lows, {highs} AS highs FROM {source} {ending})))))"""
+
+
+def walked(levels: int) -> str:
+    step = "(SELECT transaction_id, x, tree_id, 0 AS node FROM inputs, range(200) t(tree_id))"
+    for _ in range(levels):
+        step = f"""(
+  SELECT transaction_id, x, tree_id,
+         CASE WHEN f IS NULL THEN node WHEN x[f] <= threshold THEN 2 * node + 1 ELSE 2 * node + 2 END AS node
+  FROM {step} JOIN nodes USING (tree_id, node))"""
+    return step
+
+
+FOREST = f"""
+RECURSIVE {PER_TX}, scaler AS ({SCALER}), long AS ({LONG}),
+inputs AS MATERIALIZED (
+  SELECT transaction_id, list((x - mean) / scale ORDER BY position) AS x
+  FROM long JOIN scaler USING (position) GROUP BY transaction_id
+),
+ranked AS (SELECT x, row_number() OVER (ORDER BY {hashed('transaction_id')}, transaction_id) - 1 AS place FROM inputs),
+sizes AS (SELECT count(*) AS total, least(256, count(*)) AS size FROM inputs),
+draws AS (
+  SELECT i // size AS tree_id, {hashed("'draw:' || i")} % total AS place, ceil(log2(greatest(size, 2))) AS deepest
+  FROM (SELECT *, unnest(range(200 * size)) AS i FROM sizes)
+),
+points AS MATERIALIZED (SELECT tree_id, x, deepest FROM draws JOIN ranked USING (place)),
+grown AS (
+  SELECT 0 AS depth, deepest, tree_id, 0 AS node, x FROM points
+  UNION ALL
+  SELECT depth + 1, deepest, tree_id, CASE WHEN x[f] <= threshold THEN 2 * node + 1 ELSE 2 * node + 2 END, x
+  FROM {node_splits('grown', ' OVER (PARTITION BY tree_id, node)', 'depth, deepest, tree_id, node, x')} WHERE f IS NOT NULL
+),
+nodes AS MATERIALIZED (
+  SELECT tree_id, node, f, threshold,
+         depth + CASE WHEN n <= 1 THEN 0 WHEN n = 2 THEN 1
+                      ELSE 2 * (ln(n - 1) + 0.5772156649015329::DOUBLE) - 2 * (n - 1)::DOUBLE / n END AS path
+  FROM {node_splits('grown', '', 'depth, deepest, tree_id, node, count(*)::DOUBLE AS n', 'GROUP BY depth, deepest, tree_id, node')}
+),
+paths AS (
+  SELECT transaction_id, sum(path ORDER BY tree_id) / 200 AS path
+  FROM {walked(8)} JOIN nodes USING (tree_id, node) GROUP BY transaction_id
+),
+raw_scores AS MATERIALIZED (
+  SELECT transaction_id,
+         -pow(2::DOUBLE, -path / (2 * (ln(size - 1) + 0.5772156649015329::DOUBLE) - 2 * (size - 1)::DOUBLE / size)) AS score
+  FROM paths, sizes
+),
+forest_scores AS (
+  SELECT transaction_id, {settled('score', 9)} AS isolation_score,
+         score < (SELECT quantile_cont(score, 0.02) FROM raw_scores) AS is_anomaly_ml
+  FROM raw_scores
+)
+"""
+
 BOUNDS = "0.001 0.005 0.01 0.025 0.05 0.1 0.25 0.5 1.0".split()
 
 
@@ -326,6 +399,33 @@ FROM made
 """
 
 
+def swept(score: str, rows: str) -> str:
+    return f"""
+counted AS (SELECT {score} AS score, count(*) AS n, count(*) FILTER (k >= 97) AS hits FROM {rows} GROUP BY 1),
+swept AS (
+  SELECT *, (sum(n) OVER w)::BIGINT AS flagged, (sum(hits) OVER w)::BIGINT AS caught,
+         (sum(n) OVER ())::BIGINT AS n_all, (sum(hits) OVER ())::BIGINT AS hits_all
+  FROM counted WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
+),
+best AS (
+  SELECT 2::DOUBLE * caught / (flagged + hits_all) AS best_f1, score AS best_f1_score
+  FROM swept ORDER BY best_f1 DESC, score DESC LIMIT 1
+),
+cut AS (
+  SELECT score AS score_limit, flagged, caught FROM swept
+  WHERE flagged >= ceil(n_all * 0.02::DOUBLE) ORDER BY score DESC LIMIT 1
+),
+whole AS (
+  SELECT any_value(n_all) AS n_rows, any_value(hits_all) AS positives,
+         sum((n - hits) * (caught - hits / 2::DOUBLE)) AS area
+  FROM swept
+)
+SELECT n_rows, positives, {settled('area / (positives::DOUBLE * (n_rows - positives))')} AS auc, score_limit, flagged,
+       {settled('caught::DOUBLE / flagged')} AS precision, {settled('caught::DOUBLE / positives')} AS recall,
+       {settled('best_f1')} AS best_f1, best_f1_score
+FROM whole, cut, best"""
+
+
 def replaced(columns: str, digits: int = 4) -> str:
     return "* REPLACE (" + ", ".join(f"{settled(c, digits)} AS {c}" for c in columns.split()) + ")"
 
@@ -559,31 +659,9 @@ SELECT counted.*,
        {settled('true_positives::DOUBLE / nullif(true_positives + false_negatives, 0)')} AS recall,
        {settled('false_positives::DOUBLE / nullif(false_positives + true_negatives, 0)')} AS false_positive_rate
 FROM counted""",
-    "score_quality": f"""
-WITH {ALL_TX},
-counted AS (SELECT amount AS score, count(*) AS n, count(*) FILTER (k >= 97) AS hits FROM tx GROUP BY 1),
-swept AS (
-  SELECT *, (sum(n) OVER w)::BIGINT AS flagged, (sum(hits) OVER w)::BIGINT AS caught,
-         (sum(n) OVER ())::BIGINT AS n_all, (sum(hits) OVER ())::BIGINT AS hits_all
-  FROM counted WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
-),
-best AS (
-  SELECT 2::DOUBLE * caught / (flagged + hits_all) AS best_f1, score AS best_f1_score
-  FROM swept ORDER BY best_f1 DESC, score DESC LIMIT 1
-),
-cut AS (
-  SELECT score AS score_limit, flagged, caught FROM swept
-  WHERE flagged >= ceil(n_all * 0.02::DOUBLE) ORDER BY score DESC LIMIT 1
-),
-whole AS (
-  SELECT any_value(n_all) AS n_rows, any_value(hits_all) AS positives,
-         sum((n - hits) * (caught - hits / 2::DOUBLE)) AS area
-  FROM swept
-)
-SELECT n_rows, positives, {settled('area / (positives::DOUBLE * (n_rows - positives))')} AS auc, score_limit, flagged,
-       {settled('caught::DOUBLE / flagged')} AS precision, {settled('caught::DOUBLE / positives')} AS recall,
-       {settled('best_f1')} AS best_f1, best_f1_score
-FROM whole, cut, best""",
+    "score_quality": f"WITH {ALL_TX}, {swept('amount', 'tx')}",
+    "isolation_forest_scores": f"WITH {FOREST} SELECT * FROM forest_scores",
+    "forest_quality": f"WITH {FOREST}, {swept('-isolation_score', 'forest_scores JOIN tx USING (transaction_id)')}",
     "stored_reports": f"""
 WITH {BODIES}, {OFFSETS},
 checks AS (SELECT (SELECT max(ts) FROM events) - to_days(i::INTEGER) AS report_time FROM range(7) r(i)),

@@ -627,7 +627,7 @@ def scaler_apply(spark: SparkSession, sf: str) -> DataFrame:
 def isolation_forest_scores(spark: SparkSession, sf: str) -> DataFrame:
     stored = save_and_reload(vectors(spark, sf), "features")
     forest = train_isolation_forest(stored, "transaction_id", cfg=ForestConfig())
-    return forest.score(stored).select("transaction_id", "isolation_score", "is_anomaly_ml")
+    return settle(forest.score(stored).select("transaction_id", "isolation_score", "is_anomaly_ml"), "isolation_score", digits=9)
 
 
 def forest_quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -639,7 +639,8 @@ def forest_quality(spark: SparkSession, sf: str) -> DataFrame:
         (F.get_json_object("props", "$.k").cast("int") >= 97).alias("suspicious"),
     )
     rows = forest.score(stored).select("transaction_id", "isolation_score").join(marks, "transaction_id")
-    return ranking_quality(rows, -F.col("isolation_score"), F.col("suspicious"), ForestConfig().contamination)
+    quality = ranking_quality(rows, -settled(F.col("isolation_score"), 9), F.col("suspicious"), ForestConfig().contamination)
+    return settle(quality, "auc", "precision", "recall", "best_f1")
 
 
 def forest_sample(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 
 _DIGITS = 8
 _RANGE = float(16**_DIGITS)
+HASH_BITS = 60
+
+
+def hash_number(identity: Column, seed: int) -> Column:
+    """A whole number of ``HASH_BITS`` bits that depends only on id and seed."""
+    text = F.concat_ws(":", F.lit(str(seed)), identity.cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def uniform(identity: Column, seed: int, draw: int) -> Column:

@@ -5,15 +5,16 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallywatch.config import ForestConfig
+from tallywatch.functions.uniforms import HASH_BITS, hash_number, uniform
 from tallywatch.operators.quantiles import grouped_quantiles
 from tallywatch.schema import MODEL_FEATURES
 from tallywatch.session import save_and_reload
@@ -27,18 +28,8 @@ LEVEL_BITS = 10
 RANKED_ROWS = 4096
 # Bounds the draws of a forest, hence its nodes and what is broadcast.
 MAX_DRAWS = 1 << 20
-
-NODE_SCHEMA = T.StructType(
-    [
-        T.StructField("tree_id", T.IntegerType()),
-        T.StructField("node_id", T.IntegerType()),
-        T.StructField("feature", T.IntegerType()),
-        T.StructField("threshold", T.DoubleType()),
-        T.StructField("left", T.IntegerType()),
-        T.StructField("right", T.IntegerType()),
-        T.StructField("path", T.DoubleType()),
-    ]
-)
+# Buckets a unit of log score is cut into to find the limit; their number bounds what one task sees of them.
+LIMIT_RESOLUTION = 1 << 18
 
 
 def average_path(size: int) -> float:
@@ -105,8 +96,8 @@ def _last_start(starts: DataFrame, draws: DataFrame, within: str) -> DataFrame:
 
 
 def _prefix(bits: int) -> Column:
-    """The leading bits of the row hash, with its sign so that they sort as it does."""
-    return F.shiftright("_h", 64 - bits) if bits else F.lit(0).cast("long")
+    """The leading bits of the row hash; they sort as it does."""
+    return F.shiftright("_h", HASH_BITS - bits) if bits else F.lit(0).cast("long")
 
 
 def draw_samples(rows: DataFrame, identity: str, vector: str, cfg: ForestConfig) -> tuple[DataFrame, int]:
@@ -129,15 +120,15 @@ def draw_samples(rows: DataFrame, identity: str, vector: str, cfg: ForestConfig)
     hashed = rows.select(
         F.col(identity).alias("_id"),
         F.col(vector).alias("_x"),
-        F.xxhash64(F.lit(cfg.seed), F.col(identity)).alias("_h"),
+        hash_number(F.col(identity), cfg.seed).alias("_h"),
     )
     located = spark.range(cfg.trees * size).select(
         (F.col("id") / size).cast("int").alias("tree_id"),
         F.lit(0).cast("long").alias("_bucket"),
-        F.pmod(F.xxhash64(F.lit(cfg.seed), F.lit("draw"), F.col("id")), F.lit(total)).alias("_rank"),
+        F.pmod(hash_number(F.concat(F.lit("draw:"), F.col("id")), cfg.seed), F.lit(total)).alias("_rank"),
     )
     bits, largest = 0, total
-    while largest > RANKED_ROWS and bits + LEVEL_BITS < 64:
+    while largest > RANKED_ROWS and bits + LEVEL_BITS < HASH_BITS:
         # a window sees the 2^LEVEL_BITS counts below one prefix and the draws there, never rows
         counts = (
             _drawn_rows(hashed, located, bits)
@@ -175,46 +166,76 @@ def _drawn_rows(hashed: DataFrame, located: DataFrame, bits: int) -> DataFrame:
 # -- growing -------------------------------------------------------------------
 
 
-def grow_tree(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Nodes ``(id, feature, threshold, left, right, path)`` of one tree."""
-    nodes: list[tuple] = []
-    pending = [(0, points, 0)]
-    next_id = 1
-    while pending:
-        node, inside, depth = pending.pop()
-        low, high = (inside.min(axis=0), inside.max(axis=0)) if len(inside) else (np.zeros(0), np.zeros(0))
-        usable = np.flatnonzero(high > low)
-        if depth >= max_depth or len(inside) <= 1 or usable.size == 0:
-            nodes.append((node, -1, 0.0, -1, -1, depth + average_path(len(inside))))
-            continue
-        feature = int(rng.choice(usable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        goes_left = inside[:, feature] <= threshold
-        left, right = next_id, next_id + 1
-        next_id += 2
-        nodes.append((node, feature, threshold, left, right, 0.0))
-        pending.append((right, inside[~goes_left], depth + 1))
-        pending.append((left, inside[goes_left], depth + 1))
-    return nodes
+def path_length(depth: Column, rows: Column) -> Column:
+    """Depth of a leaf plus the mean depth that a tree over its rows would add."""
+    n = rows.cast("double")
+    added = F.lit(2.0) * (F.log(n - 1.0) + EULER_GAMMA) - F.lit(2.0) * (n - 1.0) / n
+    return depth.cast("double") + F.when(n <= 1, 0.0).when(n == 2, 1.0).otherwise(added)
 
 
-def grow_forest(sampled: DataFrame, size: int, cfg: ForestConfig) -> DataFrame:
-    """One group per tree; a tree sees its ``size`` drawn rows only.
+def _splits(rows: DataFrame, width: int, seed: int, depth: int, last: bool) -> DataFrame:
+    """One row per node that holds rows: feature (-1: a leaf), threshold and path.
 
-    Splits depend on the set of rows, not on their order.
+    The feature is drawn among those whose values differ there, the threshold
+    between its limits, both by the node's place alone. A threshold that
+    rounding puts on the upper limit, or a limit that is not a number, falls
+    back to the lower limit, so both sides always hold rows.
     """
-    max_depth = int(np.ceil(np.log2(max(size, 2))))
-    seed = cfg.seed
+    element = [F.get("x", F.lit(i)) for i in range(width)]
+    limits = rows.groupBy("tree_id", "node_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.array(
+            *[F.struct(F.lit(i).alias("at"), F.min(e).alias("lo"), F.max(e).alias("hi")) for i, e in enumerate(element)]
+        ).alias("_limits"),
+    )
+    place = F.concat_ws("/", "tree_id", "node_id")
+    usable = F.lit(not last) & (F.size("_usable") > 0)
+    chosen, drawn = F.col("_chosen"), F.col("_drawn")
+    return (
+        limits.withColumn("_usable", F.filter("_limits", lambda limit: limit["hi"] > limit["lo"]))
+        .withColumn("_chosen", F.when(usable, F.get("_usable", F.floor(uniform(place, seed, 0) * F.size("_usable")).cast("int"))))
+        .withColumn("_drawn", chosen["lo"] + uniform(place, seed, 1) * (chosen["hi"] - chosen["lo"]))
+        .select(
+            "tree_id",
+            "node_id",
+            F.coalesce(chosen["at"], F.lit(-1)).alias("feature"),
+            F.coalesce(F.when(drawn >= chosen["hi"], chosen["lo"]).otherwise(drawn), F.lit(0.0)).alias("threshold"),
+            F.when(chosen.isNull(), path_length(F.lit(depth), F.col("_n"))).otherwise(0.0).alias("path"),
+        )
+    )
 
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        tree = int(group["tree_id"].iloc[0])
-        points = np.stack(group["x"].to_numpy())
-        nodes = grow_tree(points, np.random.default_rng([seed, tree]), max_depth)
-        frame = pd.DataFrame(nodes, columns=["node_id", "feature", "threshold", "left", "right", "path"])
-        frame.insert(0, "tree_id", tree)
-        return frame
 
-    return sampled.groupBy("tree_id").applyInPandas(build, NODE_SCHEMA)
+def grow_forest(sampled: DataFrame, size: int, cfg: ForestConfig) -> DataFrame:
+    """All trees at once, level by level, from the drawn rows ``(tree_id, x)``.
+
+    A level aggregates the limits of every node's rows, with partial results
+    where the rows are, so no task holds a tree. Splits are stored; there are
+    at most as many as ``MAX_DRAWS``, so they are broadcast. The children of node ``k`` are
+    ``2k + 1`` and ``2k + 2``. Splits depend on the rows of a node and its
+    place, not on the order of rows or their partitions. No rows give no nodes.
+    """
+    max_depth = int(np.ceil(np.log2(max(size, 2))))
+    rows = save_and_reload(sampled.select("tree_id", F.lit(0).alias("node_id"), "x"), "forest-rows")
+    width = rows.agg(F.max(F.size("x"))).first()[0] or 1
+    goes_left = F.get("x", F.col("feature")) <= F.col("threshold")
+    levels = []
+    for depth in range(max_depth + 1):
+        # rows are moved to their nodes anew from the stored splits of the levels above
+        levels.append(save_and_reload(_splits(rows, width, cfg.seed, depth, depth == max_depth), "forest-level"))
+        above = F.broadcast(levels[-1].filter("feature >= 0").select("tree_id", "node_id", "feature", "threshold"))
+        rows = rows.join(above, ["tree_id", "node_id"]).select(
+            "tree_id", (2 * F.col("node_id") + F.when(goes_left, 1).otherwise(2)).alias("node_id"), "x"
+        )
+    child = F.when(F.col("feature") >= 0, 2 * F.col("node_id"))
+    return reduce(DataFrame.unionByName, levels).select(
+        "tree_id",
+        "node_id",
+        "feature",
+        "threshold",
+        F.coalesce(child + 1, F.lit(-1)).alias("left"),
+        F.coalesce(child + 2, F.lit(-1)).alias("right"),
+        "path",
+    )
 
 
 # -- scoring -------------------------------------------------------------------
@@ -270,11 +291,15 @@ def packed_nodes(nodes: DataFrame) -> tuple[np.ndarray, ...]:
     table = nodes.toPandas().sort_values(["tree_id", "node_id"], kind="stable").reset_index(drop=True)
     tree = table["tree_id"].to_numpy()
     roots = np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]])
-    first = roots[np.searchsorted(roots, np.arange(len(table)), side="right") - 1]
     leaf = table["feature"].to_numpy() < 0
     here = np.arange(len(table))
-    left = np.where(leaf, here, first + table["left"].to_numpy())
-    right = np.where(leaf, here, first + table["right"].to_numpy())
+    place = (tree.astype("int64") << 32) + table["node_id"].to_numpy()
+
+    def position(child: str) -> np.ndarray:
+        wanted = (tree.astype("int64") << 32) + table[child].to_numpy()
+        return np.where(leaf, here, np.searchsorted(place, wanted))
+
+    left, right = position("left"), position("right")
     feature = np.where(leaf, 0, table["feature"].to_numpy())
     return roots, feature, table["threshold"].to_numpy(), left, right, table["path"].to_numpy(), leaf
 
@@ -328,6 +353,6 @@ def train_isolation_forest(
         ["_all"],
         "score",
         {"limit": cfg.contamination},
-        resolution=8192,
+        resolution=LIMIT_RESOLUTION,
     )
     return IsolationForest(nodes, scaler, size, limit.first()["limit"])

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -14,7 +16,6 @@ from tallywatch.operators.isolation_forest import (
     draw_samples,
     fit_scaler,
     grow_forest,
-    grow_tree,
     mean_paths,
     packed_nodes,
     train_isolation_forest,
@@ -51,15 +52,50 @@ def test_average_path():
     assert average_path(256) == pytest.approx(10.2448, abs=1e-3)
 
 
-def test_tree_holds_every_point(points):
-    nodes = grow_tree(points[:256], np.random.default_rng(1), 8)
-    leaves = [n for n in nodes if n[1] < 0]
-    assert len(nodes) == 2 * len(leaves) - 1
-    assert sorted(n[0] for n in nodes) == list(range(len(nodes)))
+def number(text):
+    """The draw in [0, 1) of a node: ``text`` names tree and node; two digests of 32 bits."""
+    digest = hashlib.md5(f"42:0:{text}".encode()).hexdigest()
+    return [int(digest[8 * i : 8 * i + 8], 16) / 2**32 for i in (0, 1)]
+
+
+def grown_by_hand(tree, points, depth=0, node=0, max_depth=8):
+    """One tree, node by node: ``{node: (feature, threshold, path)}``."""
+    lo, hi = points.min(axis=0), points.max(axis=0)
+    usable = np.flatnonzero(hi > lo)
+    if depth == max_depth or not usable.size:
+        return {node: (-1, 0.0, depth + average_path(len(points)))}
+    which, where = number(f"{tree}/{node}")
+    feature = int(usable[int(which * len(usable))])
+    threshold = lo[feature] + where * (hi[feature] - lo[feature])
+    goes_left = points[:, feature] <= threshold
+    return (
+        {node: (feature, threshold, 0.0)}
+        | grown_by_hand(tree, points[goes_left], depth + 1, 2 * node + 1)
+        | grown_by_hand(tree, points[~goes_left], depth + 1, 2 * node + 2)
+    )
 
 
-def test_same_rows_give_one_leaf():
-    assert len(grow_tree(np.ones((10, 2)), np.random.default_rng(1), 8)) == 1
+def test_trees_equal_trees_grown_by_hand(spark, vectors):
+    sampled, size = draw_samples(vectors, "id", "features", ForestConfig(trees=3))
+    rows = sampled.toPandas()
+    nodes = grow_forest(sampled, size, ForestConfig(trees=3)).toPandas()
+    for tree, own in nodes.groupby("tree_id"):
+        wanted = grown_by_hand(tree, np.stack(rows.loc[rows["tree_id"] == tree, "x"]))
+        got = {n.node_id: (n.feature, n.threshold, n.path) for n in own.itertuples()}
+        assert got.keys() == wanted.keys()
+        assert all(got[node] == pytest.approx(wanted[node]) for node in wanted)
+        split = own["feature"] >= 0
+        assert len(own) == 2 * (~split).sum() - 1
+        assert set(own.loc[split, "left"]) | set(own.loc[split, "right"]) | {0} == set(own["node_id"])
+
+
+@pytest.mark.parametrize("points, leaves", [([[1.0, 1.0]] * 10, 1), ([[1.0, 2.0]], 1), ([[0.0], [float("nan")]], 2), ([[1.0], [np.nextafter(1.0, 2)]], 2), ([], 0)])
+def test_small_trees(spark, points, leaves):
+    """Same rows, one row, values that are no numbers or differ by one step only, no rows."""
+    rows = spark.createDataFrame([(0, [float(v) for v in x]) for x in points], "tree_id int, x array<double>")
+    nodes = grow_forest(rows, max(len(points), 1), ForestConfig()).toPandas()
+    assert (nodes["feature"] < 0).sum() == leaves
+    assert len(nodes) == max(2 * leaves - 1, 0)
 
 
 def test_draws_do_not_depend_on_partitioning(spark, vectors):
