@@ -1,19 +1,20 @@
 """License scans by conditional compression.
 
-A text is cut into paragraphs (runs of lines with letters or digits); those
-with a license word are the candidate blocks. White space, line ends, comment
-marks and other punctuation only separate words. Around each license word the
-spans whose words agree with a template's are found by an exact comparison:
-the shares of the template's words, in order, that a span has, and of the
-span's words that the template has. Each span, without the words around it, is
-compressed by itself and with the template as a raw zstandard dictionary, which
-must save enough of it. A block gives every license that has a
-span of its own; of spans that overlap the one whose words agree best is taken.
+A text is cut into paragraphs (runs of lines with letters or digits). White
+space, line ends, comment marks and other punctuation only separate words. The
+candidate blocks are runs of words around each license word, as long as the
+template. Each is compressed by itself and with the template as a raw zstandard
+dictionary, and templates are ranked by how many bytes they take off. A template must take off a share of
+what it takes off its own text. In that order the templates are confirmed by
+their exact wording differences: the shares of the template's words, in order,
+that a span near the license word has, and of the span's words that the template has,
+where names and versions must agree. The first one confirmed takes its span;
+the words on either side are blocks of their own, ranked anew.
 
 Defined results: a null or empty text has no blocks; long texts and blocks are
 scanned whole, in pieces that overlap by more than any span can have; between
-equal spans the longer one, then the template that saves more, then the one
-that comes first in the table is taken; repeated rows are scanned each; a null
+templates that take off equally much the one whose words agree better, then the
+first of the table is taken; repeated rows are scanned each; a null
 doc_id is carried; other columns are ignored; an empty table gives no rows.
 """
 
@@ -21,7 +22,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -73,7 +73,7 @@ REMEMBERED = 4096
 
 @dataclass(frozen=True)
 class ScanLimits:
-    """Least saving (share of the span's compressed size) and least agreement of words for a match."""
+    """Least saving (bytes taken off, as a share of those off the template's own text) and least agreement of words."""
 
     least_saving: float = 0.25
     least_recall: float = 0.7
@@ -94,9 +94,6 @@ class Found:
     words: int
     template: int
 
-    def order(self) -> tuple:
-        return -(self.recall + self.precision), -self.words, -self.saving, self.template, self.start
-
 
 def has_cue(text: bytes) -> bool:
     return CUES.search(text.lower()) is not None
@@ -114,20 +111,24 @@ class Scanner:
         self.templates, self.limits = templates, limits
         parameters = zstandard.ZstdCompressionParameters.from_level(3, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.plain = zstandard.ZstdCompressor(compression_params=parameters)
+        self.words = [WORDS.findall(text.lower().encode()) for _, text in templates]
         self.primed = [
             zstandard.ZstdCompressor(
                 compression_params=parameters,
-                dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                dict_data=zstandard.ZstdCompressionDict(b" ".join(words), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
             )
-            for _, text in templates
+            for words in self.words
         ]
-        self.words = [WORDS.findall(text.lower().encode()) for _, text in templates]
-        self.counts = [Counter(words) for words in self.words]
+        self.own = [self.reduction(i, b" ".join(words)) for i, words in enumerate(self.words)]
         self.names = [names(words) for words in self.words]
         # a span has at most so many words, by the least precision
         self.reach = [int(len(words) / limits.least_precision) + 1 for words in self.words]
         self.known: dict[bytes, list[Found]] = {}
 
+    def reduction(self, template: int, data: bytes) -> int:
+        """Bytes that the template as a dictionary takes off the compressed size."""
+        return len(self.plain.compress(data)) - len(self.primed[template].compress(data))
+
     def blocks(self, text: bytes) -> Iterator[tuple[int, bytes]]:
         """Number of the first line and bytes of each candidate block."""
         if not has_cue(text):
@@ -142,7 +143,7 @@ class Scanner:
 
     def match(self, block: bytes) -> tuple[str, float, float, float, bool] | None:
         """License, saving, recall, precision and whether the wording is exact, where words agree best; None if no template fits."""
-        found = min(self.matches(block), key=Found.order, default=None)
+        found = max(self.matches(block), key=lambda f: (f.recall + f.precision, f.words), default=None)
         return found and (found.license, found.saving, found.recall, found.precision, found.exact)
 
     def matches(self, block: bytes) -> list[Found]:
@@ -160,55 +161,50 @@ class Scanner:
         places = [(m.start(), m.end()) for m in WORDS.finditer(lowered)]
         words = [lowered[a:b] for a, b in places]
         starts = [a for a, _ in places]
-        cues = sorted({max(0, bisect_right(starts, m.start()) - 1) for m in CUES.finditer(lowered)})
-        spans: dict[tuple, Found] = {}
-        for low, high, own in self._pieces(cues, len(words)):
-            for found in self._in_piece(lowered, words, places, low, high, own):
-                spans[found.template, found.start, found.end] = found
-        taken: list[Found] = []
-        for found in sorted(spans.values(), key=Found.order):
-            if all(found.end <= other.start or other.end <= found.start for other in taken):
-                taken.append(found)
-        return sorted(taken, key=lambda found: found.start)
-
-    def _pieces(self, cues: list[int], n: int) -> Iterator[tuple[int, int, list[int]]]:
-        """First word and end of each piece, and the cues it is cut around."""
-        reach = max(self.reach)
-        own: list[int] = []
-        for cue in cues:
-            if own and (cue - own[-1] > 2 * reach or cue - own[0] > 4 * reach):
-                yield max(0, own[0] - reach), min(n, own[-1] + reach + 1), own
-                own = []
-            own.append(cue)
-        if own:
-            yield max(0, own[0] - reach), min(n, own[-1] + reach + 1), own
-
-    def _in_piece(self, lowered: bytes, words: list[bytes], places: list[tuple], low: int, high: int, cues: list[int]) -> Iterator[Found]:
-        counts = Counter(words[low:high])
-        for i, wanted in enumerate(self.words):
-            if sum(min(n, counts[word]) for word, n in self.counts[i].items()) < self.limits.least_recall * len(wanted):
-                continue
-            done = -1
-            for cue in cues:
-                if cue < done:
-                    continue
-                window = max(low, cue - self.reach[i]), min(high, cue + self.reach[i] + 1)
-                for a, b, common in self._spans(i, words, *window):
-                    done = max(done, b)
-                    data = lowered[places[a][0] : places[b - 1][1]]
-                    alone = len(self.plain.compress(data))
-                    saving = (alone - len(self.primed[i].compress(data))) / alone
-                    if saving < self.limits.least_saving:
-                        continue
-                    recall, precision = common / len(wanted), common / (b - a)
-                    exact = words[a:b] == wanted
-                    yield Found(places[a][0], places[b - 1][1], self.templates[i][0], saving, recall, precision, exact, b - a, i)
-
-    def _spans(self, i: int, words: list[bytes], low: int, high: int) -> Iterator[tuple[int, int, int]]:
-        """First and last word of the template's spans between two words, and how many words they share with it."""
+        taken: list[tuple[int, int, Found]] = []
+        for cue in sorted({max(0, bisect_right(starts, m.start()) - 1) for m in CUES.finditer(lowered)}):
+            low = max((b for _, b, _ in taken if b <= cue), default=0)
+            high = min((a for a, _, _ in taken if a > cue), default=len(words))
+            while not any(a <= cue < b for a, b, _ in taken):
+                span = self._winner(words, cue, low, high)
+                if span is None:
+                    break
+                i, a, b, common, saving = span
+                wording = common / len(self.words[i]), common / (b - a), words[a:b] == self.words[i]
+                found = Found(places[a][0], places[b - 1][1], self.templates[i][0], saving, *wording, b - a, i)
+                taken.append((a, b, found))
+                low, high = (b, high) if b <= cue else (low, a)
+        return [found for _, _, found in sorted(taken, key=lambda t: t[0])]
+
+    def ranked(self, words: list[bytes], cue: int, low: int, high: int) -> list[tuple[int, float, int, int, int]]:
+        """Bytes taken off, their share, template and words to confirm it in, of the templates that take off enough, best first."""
+        ranked = []
+        for i, own in enumerate(self.own):
+            n = len(self.words[i])
+            # blocks as long as the template, at quarters of its length, that hold the license word
+            begins = {max(low, min(at, high - n)) for at in (*range(cue - n + 1, cue, max(1, n // 4)), cue)}
+            taken_off = max(self.reduction(i, b" ".join(words[at : min(high, at + n)])) for at in begins)
+            if taken_off >= self.limits.least_saving * own:
+                a, b = max(low, cue - self.reach[i]), min(high, cue + self.reach[i] + 1)
+                ranked.append((taken_off, taken_off / own, i, a, b))
+        return sorted(ranked, key=lambda r: (-r[0], r[2]))
+
+    def _winner(self, words: list[bytes], cue: int, low: int, high: int) -> tuple[int, int, int, int, float] | None:
+        """Template, span, words in common and saving of the first template in rank that its wording confirms."""
+        best = None
+        for taken_off, saving, i, a, b in self.ranked(words, cue, low, high):
+            if best and taken_off < best[0]:
+                break
+            span = self._span(i, words, a, b)
+            if span and (best is None or span[3] > best[1]):
+                best = taken_off, span[3], (i, *span[:3], saving)
+        return best and best[2]
+
+    def _span(self, i: int, words: list[bytes], low: int, high: int) -> tuple[int, int, int, float] | None:
+        """First and last word of the span that agrees best with the template, the words in common, and how well."""
         wanted = self.words[i]
         if high - low < self.limits.least_recall * len(wanted):
-            return
+            return None
         pieces = SequenceMatcher(None, wanted, words[low:high], autojunk=False).get_matching_blocks()
         pieces = [(low + p.b, low + p.b + p.size, p.size) for p in pieces if p.size]
         best = None
@@ -220,14 +216,9 @@ class Scanner:
                 recall, precision = common / len(wanted), common / (b - a)
                 if recall < self.limits.least_recall or precision < self.limits.least_precision:
                     continue
-                if (best is None or recall + precision > best[0]) and names(words[a:b]) == self.names[i]:
-                    best = recall + precision, a, b, common
-        if best is None:
-            return
-        _, a, b, common = best
-        yield a, b, common
-        yield from self._spans(i, words, low, a)
-        yield from self._spans(i, words, b, high)
+                if (best is None or recall + precision > best[3]) and names(words[a:b]) == self.names[i]:
+                    best = a, b, common, recall + precision
+        return best
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, limits: ScanLimits = ScanLimits()) -> DataFrame:
