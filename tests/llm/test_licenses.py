@@ -56,7 +56,7 @@ def test_scan_of_wrapped_notices(spark):
 
 
 def test_compression_ranks_and_decides(scanner):
-    """The notice's own license takes off most but for two bytes, ordinary words around a license word next to nothing."""
+    """The notice's own license takes off most or nearly so, ordinary words around a license word next to nothing."""
     for name, notice in licenses.TEMPLATES:
         words = licenses.WORDS.findall(f"{PROSE[0]} {notice} {PROSE[0]}".lower().encode())
         joined = b" ".join(words)
@@ -64,7 +64,7 @@ def test_compression_ranks_and_decides(scanner):
         ranked = scanner.ranked(words, cue, 0, len(words))
         own = next(r for r in ranked if licenses.TEMPLATES[r[2]][0] == name)
         # a license whose name differs in a word may take off as much: words tell them apart
-        assert own[0] >= ranked[0][0] - 2 and own[1] > 0.7, notice
+        assert own[0] >= 0.9 * ranked[0][0] and own[1] > 0.7, notice
     prose = [word.encode() for word in PROSE[1].split()]
     for at in range(50, 250, 10):
         assert not scanner.ranked([*prose[:at], b"license", *prose[at:]], at, 0, len(prose) + 1)
