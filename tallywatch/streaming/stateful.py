@@ -1,17 +1,19 @@
 """Per-transaction trailing features on a stream.
 
-State per user is held by minute: a summary of each minute of the last day and
-the minute's rows. A transaction reads the summaries of the whole minutes in
-its frames and the rows of the minutes at their ends only, so the work per
-transaction does not grow with the number of rows in a frame. The last hundred
-amounts older than a day are kept for the row z-score. What one call receives
-is bounded by the source's intake per trigger.
+State per user is held in chunks of rows in time order, and an index of their
+limits, counts and countries with the rows that do not fill a chunk yet. A call reads the chunks of the last hour and
+those in which frames begin; of chunks in between only the index is needed. All
+rows of a call are measured at once on arrays. A frame costs the logarithm of
+its rows. The last hundred amounts older than a day are kept for the row
+z-score. What one call receives is bounded by the source's intake per trigger.
 """
 
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -61,150 +63,99 @@ OUTPUT_SCHEMA = T.StructType(
 )
 INPUTS = [f.name for f in OUTPUT_SCHEMA.fields[1:7]]
 MEASURES = [f.name for f in OUTPUT_SCHEMA.fields[7:]]
-OLDER_SCHEMA = T.StructType([T.StructField("amount", T.ArrayType(T.DoubleType()))])
-ROWS_SCHEMA = T.StructType(
+# Rows a chunk of state holds; a row of state is read or written for a chunk, not for a transaction.
+CHUNK_ROWS = 512
+LONGS = T.ArrayType(T.LongType())
+NAMES = T.ArrayType(T.StringType())
+CHUNK_SCHEMA = T.StructType([T.StructField("chunk", T.LongType())])
+ROWS = [T.StructField("at", LONGS), T.StructField("amount", T.ArrayType(T.DoubleType())), T.StructField("country", NAMES)]
+ROWS_SCHEMA = T.StructType(ROWS)
+INDEX_SCHEMA = T.StructType(
     [
-        T.StructField("at", T.ArrayType(T.LongType())),
-        T.StructField("amount", T.ArrayType(T.DoubleType())),
-        T.StructField("country", T.ArrayType(T.StringType())),
+        T.StructField("chunk", LONGS),
+        T.StructField("first", LONGS),
+        T.StructField("last", LONGS),
+        T.StructField("n", LONGS),
+        T.StructField("countries", T.ArrayType(NAMES)),
+        T.StructField("older", T.ArrayType(T.DoubleType())),
+        *ROWS,
     ]
 )
-SUMMARY_SCHEMA = T.StructType(
-    [
-        T.StructField("n", T.LongType()),
-        T.StructField("s", T.DoubleType()),
-        T.StructField("m2", T.DoubleType()),
-        T.StructField("high", T.DoubleType()),
-        T.StructField("countries", T.ArrayType(T.StringType())),
-    ]
-)
-MINUTE_SCHEMA = T.StructType([T.StructField("minute", T.LongType())])
-
-
-class MinuteRows:
-    """The rows of one minute in time order."""
-
-    def __init__(self, at, amount, country):
-        order = np.argsort(np.asarray(at, dtype="int64"), kind="stable")
-        self.at = np.asarray(at, dtype="int64")[order]
-        self.amount = np.asarray(amount, dtype="float64")[order]
-        self.country = [country[i] for i in order]
-
-    def with_rows(self, at, amount, country) -> MinuteRows:
-        return MinuteRows(
-            np.r_[self.at, at], np.r_[self.amount, amount], [*self.country, *country]
-        )
-
-    def summary(self) -> tuple:
-        mean = self.amount.mean()
-        gaps = self.amount - mean
-        seen = sorted({c for c in self.country if c is not None})
-        return len(self.at), float(self.amount.sum()), float((gaps * gaps).sum()), float(self.amount.max()), seen
-
-
-class UserPast:
-    """A user's minutes, with rows fetched from state when a frame ends in them."""
-
-    def __init__(self, fetch, summaries: dict[int, tuple], older: list[float]):
-        self.fetch, self.summaries, self.older = fetch, summaries, older
-        self.loaded: dict[int, MinuteRows] = {}
-
-    def minute(self, minute: int) -> MinuteRows:
-        if minute not in self.loaded:
-            held = self.fetch((minute,)) if minute in self.summaries else None
-            self.loaded[minute] = MinuteRows(*(held or ([], [], [])))
-        return self.loaded[minute]
-
-    def add(self, minute: int, at, amount, country) -> MinuteRows:
-        changed = self.minute(minute).with_rows(at, amount, country)
-        self.loaded[minute] = changed
-        self.summaries[minute] = changed.summary()
-        return changed
-
-    def index(self) -> None:
-        """Column form of the summaries, in time order."""
-        minutes = sorted(self.summaries)
-        held = [self.summaries[m] for m in minutes]
-        self.starts = np.asarray(minutes, dtype="int64")
-        self.counts = np.asarray([h[0] for h in held], dtype="int64")
-        self.sums, self.deviations, self.highs = (np.asarray([h[i] for h in held], dtype="float64") for i in (1, 2, 3))
-        self.running = np.r_[0, np.cumsum(self.counts)]
-        places: dict[str, list[int]] = {}
-        for minute, summary in zip(minutes, held):
-            for name in summary[4]:
-                places.setdefault(name, []).append(minute)
-        self.seen_in = {name: np.asarray(found) for name, found in places.items()}
-
-    def frame(self, low: int, high: int):
-        """``(low, high]`` as whole minutes and the loose rows at both ends."""
-        opening, closing = low // MINUTE, high // MINUTE
-        edges = [opening, closing] if opening != closing and opening in self.summaries else [closing]
-        loose = []
-        for minute in edges:
-            rows = self.minute(minute)
-            loose.append((rows, slice(*np.searchsorted(rows.at, [low, high], side="right"))))
-        first, last = np.searchsorted(self.starts, [opening + 1, closing])
-        return slice(first, max(first, last)), loose
-
-    def count(self, low: int, high: int) -> int:
-        whole, loose = self.frame(low, high)
-        return int(self.running[whole.stop] - self.running[whole.start]) + sum(k.stop - k.start for _, k in loose)
-
-    def total(self, low: int, high: int) -> float:
-        whole, loose = self.frame(low, high)
-        return float(self.sums[whole].sum() + sum(rows.amount[k].sum() for rows, k in loose))
-
-    def countries(self, low: int, high: int) -> int:
-        whole, loose = self.frame(low, high)
-        seen = {name for rows, k in loose for name in rows.country[k] if name is not None}
-        if whole.stop > whole.start:
-            bounds = self.starts[whole.start], self.starts[whole.stop - 1]
-            for name, minutes in self.seen_in.items():
-                first, after = np.searchsorted(minutes, bounds[0]), np.searchsorted(minutes, bounds[1], side="right")
-                if after > first:
-                    seen.add(name)
-        return len(seen)
-
-    def spread(self, low: int, high: int) -> tuple[int, float, float, float, float]:
-        """Count, sum, mean, sample deviation (0 for one row) and maximum."""
-        whole, loose = self.frame(low, high)
-        ends = np.concatenate([rows.amount[k] for rows, k in loose])
-        n = int(self.counts[whole].sum() + len(ends))
-        total = float(self.sums[whole].sum() + ends.sum())
-        mean = total / n
-        shift = self.sums[whole] / self.counts[whole] - mean
-        around = (self.deviations[whole] + self.counts[whole] * shift * shift).sum() + ((ends - mean) ** 2).sum()
-        top = max([*self.highs[whole].tolist(), *ends.tolist()])
-        return n, total, mean, float(np.sqrt(around / (n - 1))) if n > 1 else 0.0, top
-
-    def amounts_before(self, minute: int, wanted: int) -> np.ndarray:
-        """Up to ``wanted`` amounts that precede ``minute``, oldest first."""
-        found: list[np.ndarray] = []
-        place = np.searchsorted(self.starts, minute)
-        while wanted > 0 and place > 0:
-            place -= 1
-            found.append(self.minute(int(self.starts[place])).amount[-wanted:])
-            wanted -= len(found[-1])
-        if wanted > 0:
-            found.append(np.asarray(self.older[-wanted:], dtype="float64"))
-        return np.concatenate(found[::-1])
-
-    def row_zscores(self, first: int, last: int) -> dict[int, np.ndarray]:
-        """For each minute from first to last, its rows' distance from the
-        mean of the hundred rows that end there; NaN below ten rows."""
-        minutes = self.starts[np.searchsorted(self.starts, first) : np.searchsorted(self.starts, last, side="right")]
-        held = [self.minute(m).amount for m in minutes.tolist()]
-        amounts = np.concatenate(held)
-        before = self.amounts_before(first, ZSCORE_ROWS - 1)
-        gap = np.full(ZSCORE_ROWS - 1 - len(before), np.nan)
-        frames = np.lib.stride_tricks.sliding_window_view(np.r_[gap, before, amounts], ZSCORE_ROWS)
-        seen = np.minimum(len(before) + 1 + np.arange(len(amounts)), ZSCORE_ROWS)
-        mean = np.nansum(frames, axis=1) / seen
-        around = np.nansum((frames - mean[:, None]) ** 2, axis=1)
-        z = (amounts - mean) / (np.sqrt(around / np.maximum(seen - 1, 1)) + ZSCORE_EPSILON)
+
+
+class Chunk(NamedTuple):
+    """What the index says of a chunk: its number, first and last time, rows and countries."""
+
+    number: int
+    first: int
+    last: int
+    n: int
+    countries: list[str]
+
+
+def spreads(amount: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sum, squared deviation and maximum of each ``amount[low:high]``; no frame is empty.
+
+    A frame is put together from runs of 1, 2, 4 and so on values. Runs and
+    frames merge, nothing is subtracted, and a frame costs the logarithm of
+    its rows.
+    """
+    n, mean, total, around = (np.zeros(len(low)) for _ in range(4))
+    top = np.full(len(low), -np.inf)
+    start, left, size = low.copy(), high - low, 1
+    sums, deviations, highs = amount, np.zeros(len(amount)), amount
+    longest = left.max()
+    while True:
+        chosen = np.flatnonzero(left & size)
+        run = start[chosen]
+        gap = sums[run] / size - mean[chosen]
+        both = n[chosen] + size
+        around[chosen] += deviations[run] + gap * gap * (n[chosen] * size / both)
+        mean[chosen] += gap * (size / both)
+        total[chosen] += sums[run]
+        top[chosen] = np.maximum(top[chosen], highs[run])
+        n[chosen] = both
+        start[chosen] += size
+        if 2 * size > longest:
+            return total, around, top
+        gap = (sums[size:] - sums[:-size]) / size
+        deviations = deviations[:-size] + deviations[size:] + gap * gap * (size / 2)
+        sums = sums[:-size] + sums[size:]
+        highs = np.maximum(highs[:-size], highs[size:])
+        size *= 2
+
+
+def distinct_seen(at: np.ndarray, code: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in the day before each time, and in its calendar day up to it.
+
+    A code counts from each occurrence until a day later. Where such spans
+    begin less where they end, up to a time, is the number open then.
+    """
+    order = np.lexsort((at, code))
+    at, code = at[order], code[order]
+    same = code[1:] == code[:-1]
+    apart = ~(same & (at[1:] - at[:-1] < DAY))
+    begins, ends = np.sort(at[np.r_[True, apart]]), np.sort(at[np.r_[apart, True]] + DAY)
+    open_then = np.searchsorted(begins, times, side="right") - np.searchsorted(ends, times, side="right")
+    firsts = np.sort(at[np.r_[True, ~(same & (at[1:] // DAY == at[:-1] // DAY))]])
+    today = np.searchsorted(firsts, times, side="right") - np.searchsorted(firsts, times - times % DAY, side="left")
+    return open_then, today
+
+
+def row_zscores(amounts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Distance of each of ``rows`` from the mean of the hundred amounts that end there; NaN below ten."""
+    found = np.empty(len(rows))
+    padded = np.r_[np.full(ZSCORE_ROWS - 1, np.nan), amounts]
+    frames = np.lib.stride_tricks.sliding_window_view(padded, ZSCORE_ROWS)
+    for begin in range(0, len(rows), CHUNK_ROWS):
+        some = rows[begin : begin + CHUNK_ROWS]
+        held, seen = frames[some], np.minimum(some + 1, ZSCORE_ROWS)
+        mean = np.nansum(held, axis=1) / seen
+        around = np.nansum((held - mean[:, None]) ** 2, axis=1)
+        z = (amounts[some] - mean) / (np.sqrt(around / np.maximum(seen - 1, 1)) + ZSCORE_EPSILON)
         z[seen < ZSCORE_MIN_ROWS] = np.nan
-        ends = np.cumsum([len(h) for h in held])
-        return dict(zip(minutes.tolist(), np.split(z, ends[:-1])))
+        found[begin : begin + CHUNK_ROWS] = z
+    return found
 
 
 class TrailingFeatures(StatefulProcessor):
@@ -212,70 +163,145 @@ class TrailingFeatures(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getMapState("rows", MINUTE_SCHEMA, ROWS_SCHEMA)
-        self.summaries = handle.getMapState("summaries", MINUTE_SCHEMA, SUMMARY_SCHEMA)
-        self.older = handle.getValueState("older", OLDER_SCHEMA)
+        self.rows = handle.getMapState("rows", CHUNK_SCHEMA, ROWS_SCHEMA)
+        self.index = handle.getValueState("index", INDEX_SCHEMA)
+
+    def past(self) -> tuple[list[Chunk], list[float], tuple]:
+        """The chunks in time order, the last amounts before them, and the rows after them."""
+        held = self.index.get()
+        if not held:
+            return [], [], ([], [], [])
+        return [Chunk(*values) for values in zip(*held[:5])], list(held[5]), tuple(held[6:])
 
-    def past(self) -> UserPast:
-        summaries = {minute[0]: tuple(value) for minute, value in self.summaries.iterator()}
-        older = self.older.get()
-        return UserPast(self.rows.getValue, summaries, list(older[0]) if older else [])
+    def store(self, chunks: list[Chunk], older: list[float], tail: tuple) -> None:
+        columns = [list(values) for values in zip(*chunks)] or [[] for _ in Chunk._fields]
+        self.index.update((*columns, older, *tail))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        new = new.sort_values(["micros", "transaction_id"], kind="stable").reset_index(drop=True)
-        past = self.past()
-        at = new["micros"].to_numpy()
-        amount = new["amount"].to_numpy(dtype="float64")
-        country = [None if pd.isna(c) else c for c in new["merchant_country"]]
-        minutes = at // MINUTE
-        for minute in np.unique(minutes).tolist():
-            chosen = np.flatnonzero(minutes == minute)
-            held = past.add(minute, at[chosen], amount[chosen], [country[i] for i in chosen])
-            self.rows.updateValue((minute,), (held.at.tolist(), held.amount.tolist(), held.country))
-            self.summaries.updateValue((minute,), past.summaries[minute])
-        past.index()
-
-        out = []
-        following = np.searchsorted(at, at, side="right") - np.arange(len(at))
-        zscores = past.row_zscores(int(minutes[0]), int(minutes[-1]))
-        for t, same_time_left in zip(at.tolist(), following.tolist()):
-            minute = t // MINUTE
-            row = int(np.searchsorted(past.minute(minute).at, t, side="right")) - same_time_left
-            out.append(
-                (
-                    *past.spread(t - HOUR, t),
-                    past.count(t - DAY, t),
-                    past.total(t - MINUTE, t),
-                    past.countries(t - DAY, t),
-                    past.countries(t - t % DAY - 1, t),
-                    zscores[minute][row],
-                )
-            )
-        self.forget(timerValues, past)
-        result = pd.concat([new[INPUTS], pd.DataFrame(out, columns=MEASURES)], axis=1)
-        result["zscore_amount"] = [None if np.isnan(z) else z for z in result["zscore_amount"]]
-        result.insert(0, "user_id", key[0])
-        yield result
+        frames = list(rows)
+        new = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        times = new["micros"].to_numpy()
+        by_time = np.argsort(times, kind="stable")
+        if (np.diff(times[by_time]) == 0).any():
+            by_time = new.reset_index(drop=True).sort_values(["micros", "transaction_id"], kind="stable").index.to_numpy()
+        times = times[by_time]
+        begin, end = int(times[0]), int(times[-1])
+        chunks, older, tail = self.past()
+
+        # chunks that the new rows reach into are cut anew, with the rows after them
+        cut = next((i for i, c in enumerate(chunks) if c.last >= begin), len(chunks))
+        # row z-scores look back over rows, so the chunks that hold those are read, too
+        near, before = cut, 0
+        while near > 0 and (before < ZSCORE_ROWS or chunks[near - 1].last > begin - HOUR):
+            near -= 1
+            before += chunks[near].n
+        limits = ((begin - DAY, end - DAY), (begin - begin % DAY - 1, end - end % DAY - 1))
+        # of the rest, only chunks that a frame may begin in
+        read = [
+            i for i, c in enumerate(chunks) if i >= near or any(c.first <= upto and c.last > above for above, upto in limits)
+        ]
+        parts = [*[self.rows.getValue((chunks[i].number,)) for i in read], tail]
+        country = [c for p in parts for c in p[2]]
+        country += [c if isinstance(c, str) else None for c in new["merchant_country"].to_numpy()[by_time]]
+        at = np.concatenate([*[np.asarray(p[0], "int64") for p in parts], times])
+        amount = np.concatenate([*[np.asarray(p[1], "float64") for p in parts], new["amount"].to_numpy("float64")[by_time]])
+        order = np.argsort(at, kind="stable")
+        place = np.empty(len(at), "int64")
+        place[order] = np.arange(len(at))
+        place = place[len(at) - len(times) :]
+        at, amount, country = at[order], amount[order], [country[i] for i in order.tolist()]
+
+        # chunks that were not read lie in a frame as a whole or not at all
+        here = set(read)
+        result = self.measures(times, at, amount, country, [c for i, c in enumerate(chunks) if i not in here])
+        result["zscore_amount"] = row_zscores(np.r_[older, amount], place + len(older))
+
+        fixed = sum(chunks[i].n for i in read if i < cut)
+        kept, older = self.without_old(chunks[:cut], older, self.limit(timerValues))
+        if not kept:
+            gone = fixed + int(np.searchsorted(at[fixed:], self.limit(timerValues)))
+            older = np.r_[older, amount[fixed:gone]][-ZSCORE_ROWS:].tolist()
+            fixed = gone
+        numbers = [c.number for c in chunks[cut:]]
+        unused = max([-1, *[c.number for c in chunks]]) + 1
+        while len(at) - fixed >= CHUNK_ROWS:
+            own = slice(fixed, fixed + CHUNK_ROWS)
+            number = numbers.pop() if numbers else unused
+            unused += number == unused
+            self.rows.updateValue((number,), (at[own].tolist(), amount[own].tolist(), country[own]))
+            seen = sorted({c for c in country[own] if c is not None})
+            kept.append(Chunk(number, int(at[fixed]), int(at[own][-1]), CHUNK_ROWS, seen))
+            fixed += CHUNK_ROWS
+        for number in numbers:
+            self.rows.removeKey((number,))
+        tail = (at[fixed:].tolist(), amount[fixed:].tolist(), country[fixed:])
+        self.store(kept, older, tail)
+        self.come_back(kept, tail)
+
+        as_given = np.empty_like(by_time)
+        as_given[by_time] = np.arange(len(by_time))
+        columns = {name: new[name].array for name in INPUTS} | {name: values[as_given] for name, values in result.items()}
+        yield pd.DataFrame({"user_id": np.full(len(new), key[0], dtype=object), **columns}, copy=False)
+
+    def measures(self, times, at, amount, country, whole: list[Chunk]) -> dict[str, np.ndarray]:
+        upto = np.searchsorted(at, times, side="right")
+        frames = [(np.searchsorted(at, times - frame, side="right"), upto) for frame in (HOUR, MINUTE)]
+        # rows of an hour are all here, so their number is that of their places
+        n = frames[0][1] - frames[0][0]
+        total, around, top = spreads(amount, *frames[0])
+        firsts = np.asarray([c.first for c in whole], "int64")
+        running = np.r_[0, np.cumsum([c.n for c in whole], dtype="int64")]
+
+        def rows_upto(limit: np.ndarray) -> np.ndarray:
+            return np.searchsorted(at, limit, side="right") + running[np.searchsorted(firsts, limit, side="right")]
+
+        codes: dict[str, int] = {}
+        seen = [(t, c) for t, c in zip(at.tolist(), country) if c is not None]
+        seen += [(chunk.first, c) for chunk in whole for c in chunk.countries]
+        code = np.asarray([codes.setdefault(c, len(codes)) for _, c in seen], "int64")
+        last_day, today = distinct_seen(np.asarray([t for t, _ in seen], "int64"), code, times) if seen else (0 * times, 0 * times)
+        return {
+            "txn_count_1h": n,
+            "total_amount_1h": total,
+            "avg_amount_1h": total / n,
+            "stddev_amount_1h": np.where(n > 1, np.sqrt(around / np.maximum(n - 1, 1)), 0.0),
+            "max_amount_1h": top,
+            "txn_count_24h": rows_upto(times) - rows_upto(times - DAY),
+            "burst_amount": spreads(amount, *frames[1])[0],
+            "country_count_24h": last_day,
+            "country_count_1h": today,
+        }
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.forget(timerValues, self.past())
+        chunks, older, tail = self.past()
+        limit = self.limit(timerValues)
+        kept, older = self.without_old(chunks, older, limit)
+        gone = 0 if kept else bisect_left(tail[0], limit)
+        if gone or len(kept) < len(chunks):
+            older, tail = [*older, *tail[1][:gone]][-ZSCORE_ROWS:], tuple(column[gone:] for column in tail)
+            self.store(kept, older, tail)
+        self.come_back(kept, tail)
         return iter([])
 
-    def forget(self, timerValues, past: UserPast) -> None:
-        """Drop minutes no later transaction can reach; come back for the rest."""
-        limit = (timerValues.getCurrentWatermarkInMs() * 1000 - DAY) // MINUTE
-        minutes = sorted(past.summaries)
-        gone = [minute for minute in minutes if minute < limit]
-        if gone:
-            amounts = np.concatenate([past.older, *[past.minute(m).amount for m in gone[-ZSCORE_ROWS:]]])
-            self.older.update((amounts[-ZSCORE_ROWS:].tolist(),))
-            for minute in gone:
-                self.rows.removeKey((minute,))
-                self.summaries.removeKey((minute,))
-        if len(gone) < len(minutes):
-            # Rounded up to a full hour, so a busy user has few timers.
-            done = (minutes[-1] + 2) * MINUTE + DAY
+    def limit(self, timerValues) -> int:
+        """The time before which no later transaction can reach, a full minute."""
+        return (timerValues.getCurrentWatermarkInMs() * 1000 - DAY) // MINUTE * MINUTE
+
+    def without_old(self, chunks: list[Chunk], older: list[float], limit: int) -> tuple[list[Chunk], list[float]]:
+        """Drops the chunks before the limit but for their last amounts."""
+        many = next((i for i, c in enumerate(chunks) if c.last >= limit), len(chunks))
+        amounts: list[float] = []
+        for chunk in reversed(chunks[:many]):
+            if len(amounts) < ZSCORE_ROWS:
+                amounts = [*self.rows.getValue((chunk.number,))[1], *amounts]
+            self.rows.removeKey((chunk.number,))
+        return chunks[many:], [*older, *amounts][-ZSCORE_ROWS:]
+
+    def come_back(self, chunks: list[Chunk], tail: tuple) -> None:
+        """A timer for the rest, rounded up to a full hour, so a busy user has few."""
+        if chunks or tail[0]:
+            last = tail[0][-1] if tail[0] else chunks[-1].last
+            done = last // MINUTE * MINUTE + 2 * MINUTE + DAY
             self.handle.registerTimer(-(-done // HOUR) * (HOUR // 1000))
 
     def close(self) -> None:
