@@ -70,11 +70,9 @@ def window_features(
         return direct_window_features(transactions, cfg, approximate)
 
     if approximate:
-        keys, countries = ["user_id"], [distinct_sketch(F.col("merchant_country")).alias("countries")]
-        distinct = distinct_estimate(merged_distincts(F.col("countries")))
+        keys, countries, order = ["user_id"], [distinct_sketch(F.col("merchant_country")).alias("countries")], "pane"
     else:
-        keys, countries = ["user_id", "merchant_country"], []
-        distinct = F.count_distinct("merchant_country")
+        keys, countries, order = ["user_id", "merchant_country"], [], "merchant_country"
     panes = (
         transactions.groupBy(F.window("event_time", cfg.slide).alias("w"), *keys)
         .agg(
@@ -92,21 +90,32 @@ def window_features(
     first = F.col("pane") - interval(cfg.slide) * (length // slide - 1)
     copies = panes.withColumn("window_start", F.explode(F.sequence(first, "pane", interval(cfg.slide))))
 
-    whole = Window.partitionBy("user_id", "window_start")
+    # One sort serves all that follows; of a window only its own panes are held, and no table of windows.
+    in_order = Window.partitionBy("user_id", "window_start").orderBy(order)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    if approximate:
+        distinct = distinct_estimate(merged_distincts(F.col("countries")).over(whole))
+    else:
+        other = ~F.col("merchant_country").eqNullSafe(F.lag("merchant_country").over(in_order))
+        copies = copies.withColumn("new_country", other & F.col("merchant_country").isNotNull())
+        distinct = F.sum(F.col("new_country").cast("long")).over(whole)
     gap = F.try_divide(F.col("s"), F.col("n")) - F.col("mean")
     spread = (
         copies.withColumn("mean", F.try_divide(F.sum("s").over(whole), F.sum("n").over(whole)))
         .withColumn("m2", F.when(F.col("n") > 0, F.col("m2") + F.col("n") * gap * gap))
-        .groupBy("user_id", "window_start")
-        .agg(
-            F.sum("rows").alias("txn_count_1h"),
-            F.sum("n").alias("n"),
-            F.sum("s").alias("total_amount_1h"),
-            F.sum("m2").alias("m2"),
-            F.min("low").alias("low"),
-            F.max("high").alias("max_amount_1h"),
+        .select(
+            "user_id",
+            "window_start",
+            F.sum("rows").over(whole).alias("txn_count_1h"),
+            F.sum("n").over(whole).alias("n"),
+            F.sum("s").over(whole).alias("total_amount_1h"),
+            F.sum("m2").over(whole).alias("m2"),
+            F.min("low").over(whole).alias("low"),
+            F.max("high").over(whole).alias("max_amount_1h"),
             distinct.alias("country_count_1h"),
+            F.row_number().over(in_order).alias("place"),
         )
+        .filter("place = 1")
     )
     # Equal amounts have no spread at all, not even a rounding error's worth.
     stddev = sample_stddev(F.col("n"), F.when(F.col("low") == F.col("max_amount_1h"), 0.0).otherwise(F.col("m2")))

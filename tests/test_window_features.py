@@ -84,3 +84,13 @@ def test_plan_copies_panes_not_rows(spark):
     assert plan.count("Exchange hashpartitioning") == 2
     assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning")
     assert "ObjectHashAggregate" not in plan
+
+
+@pytest.mark.parametrize("approximate", [False, True])
+def test_windows_are_made_from_sorted_panes_without_a_table_of_windows(spark, approximate):
+    data = frame(spark, [("u", 1, 1.0, "US"), ("u", 2, 3.0, None), ("u", 3, 5.0, "DE"), (None, 400, 7.0, "US")])
+    made = window_features(data, approximate=approximate)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan[: plan.index("Exchange hashpartitioning")] and plan.count("Sort [") <= (2 if approximate else 1)
+    got = made.filter("window_start = '2024-01-01'").collect()
+    assert {(r.user_id, r.txn_count_1h, r.total_amount_1h, r.country_count_1h) for r in got} == {("u", 3, 9.0, 2), (None, 1, 7.0, 1)}
