@@ -24,6 +24,11 @@ from tallywatch.functions.moments import (
     squared_deviation,
 )
 
+# Frames of up to so many blocks send a row to the blocks of its frame inside a task; a stretch has this many frames.
+FEW_BLOCKS = 4
+STRETCH_FRAMES = 2
+
+
 def block_index(position: Column, size: int) -> Column:
     """Index of the block of ``size`` that holds an integer position."""
     return ((position - F.pmod(position, F.lit(size))) / size).cast("long")
@@ -48,6 +53,8 @@ def trailing_stats(
     key further. ``place = (name, size)`` adds the index of the position's
     stretch of ``size`` (a multiple of ``block``) and exchanges on (keys, that
     column), so later steps grouped on it need no exchange of their own.
+    Frames of a few blocks are exchanged by stretches of ``STRETCH_FRAMES``
+    frames, which spreads a heavy key by stretches.
     """
     block = block or frame
     if frame % block:
@@ -57,22 +64,26 @@ def trailing_stats(
     keys = list(keys)
 
     own = rows.withColumn("_pos", position).withColumn("_block", block_index(F.col("_pos"), block))
-    # Copies carry the value only; making them here joins nothing; more
-    # than one block a frame reads the input again for the block summaries.
     carried = [c for c in rows.columns if c not in keys]
-    both = own.withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumns(
-        {
-            **{c: F.when(F.col("_own"), F.col(c)) for c in carried},
-            "_leaving": F.when(~F.col("_own"), F.col(value)),
-            "_pos": F.when(F.col("_own"), F.col("_pos")).otherwise(F.col("_pos") + frame),
-            "_block": F.when(F.col("_own"), F.col("_block")).otherwise(F.col("_block") + span),
-        }
-    )
-    where = [*keys, "_block"]
-    if place:
-        stretch = block_index(F.col("_block") * block, place[1])
-        both = both.withColumn(place[0], stretch).repartition(*keys, place[0])
-        where = [*keys, place[0], "_block"]
+    visiting = not place and 1 < span <= FEW_BLOCKS
+    if visiting:
+        both, where = _visits(own, keys, carried, value, frame, span)
+    else:
+        # Copies carry the value only; making them here joins nothing; more
+        # than one block a frame reads the input again for the block summaries.
+        both = own.withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumns(
+            {
+                **{c: F.when(F.col("_own"), F.col(c)) for c in carried},
+                "_leaving": F.when(~F.col("_own"), F.col(value)),
+                "_pos": F.when(F.col("_own"), F.col("_pos")).otherwise(F.col("_pos") + frame),
+                "_block": F.when(F.col("_own"), F.col("_block")).otherwise(F.col("_block") + span),
+            }
+        )
+        where = [*keys, "_block"]
+        if place:
+            stretch = block_index(F.col("_block") * block, place[1])
+            both = both.withColumn(place[0], stretch).repartition(*keys, place[0])
+            where = [*keys, place[0], "_block"]
 
     up_to_now = (
         Window.partitionBy(*where)
@@ -87,7 +98,10 @@ def trailing_stats(
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ends = {}
-    for side, part, over in (("_new", F.col(value), up_to_now), ("_old", F.col("_leaving"), still_inside)):
+    measures = [("_new", F.col(value), up_to_now), ("_old", F.col("_leaving"), still_inside)]
+    if visiting:
+        measures.append(("_mid", F.col("_staying"), Window.partitionBy(*where)))
+    for side, part, over in measures:
         ends[f"{side}_n"] = F.count(part).over(over)
         ends[f"{side}_s"] = F.sum(part).over(over)
         ends[f"{side}_hi"] = F.max(part).over(over)
@@ -96,7 +110,9 @@ def trailing_stats(
     measured = both.withColumns(ends).filter("_own")
 
     sides = ["_new", "_old"]
-    if span > 1:
+    if visiting:
+        sides.append("_mid")
+    elif span > 1:
         middle = _middle_blocks(own, keys, value, span, deviation)
         measured = measured.join(middle, [*keys, "_block"], "left")
         sides.append("_mid")
@@ -130,6 +146,41 @@ def _if_keyed(keys: Sequence[str], value: Column) -> Column:
     return F.when(reduce(and_, [F.col(key).isNotNull() for key in keys]), value)
 
 
+def _visits(
+    own: DataFrame, keys: list[str], carried: list[str], value: str, frame: int, span: int
+) -> tuple[DataFrame, list[str]]:
+    """Rows in their own block, and their values in the later blocks of their frame.
+
+    In the last of these a value leaves, in those between it stays throughout.
+    Rows are exchanged by stretches of ``STRETCH_FRAMES`` frames and sent on to
+    blocks after that, so only values whose frame goes on in the next stretch
+    are exchanged twice, and the input is read once.
+    """
+    many = STRETCH_FRAMES * span
+    here, last = block_index(F.col("_block"), many), block_index(F.col("_block") + span, many)
+    sent = own.withColumn("_stretch", F.explode(F.when(here.eqNullSafe(last), F.array(here)).otherwise(F.array(here, last))))
+    sent = sent.withColumns(
+        {c: F.when(F.col("_stretch").eqNullSafe(here), F.col(c)) for c in carried if c != value}
+    ).repartition(*keys, "_stretch")
+    # rows without a position are in nobody's frame but each other's
+    steps = F.when(F.col("_pos").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(span)))
+    visits = (
+        sent.withColumn("_step", F.explode(steps))
+        .withColumn("_block", F.col("_block") + F.col("_step"))
+        .filter(block_index(F.col("_block"), many).eqNullSafe(F.col("_stretch")))
+    )
+    first, leaves = F.col("_step") == 0, F.col("_step") == span
+    return visits.withColumns(
+        {
+            **{c: F.when(first, F.col(c)) for c in carried},
+            "_own": first,
+            "_leaving": F.when(leaves, F.col(value)),
+            "_staying": F.when(~first & ~leaves, F.col(value)),
+            "_pos": F.when(leaves, F.col("_pos") + frame).otherwise(F.col("_pos")),
+        }
+    ), [*keys, "_stretch", "_block"]
+
+
 def _middle_blocks(own: DataFrame, keys: list[str], value: str, span: int, deviation: bool) -> DataFrame:
     """Per block, the merged summary of the ``span - 1`` blocks before it."""
     per_block = own.groupBy(*keys, "_block").agg(

@@ -134,3 +134,25 @@ def test_rows_without_key_have_no_values(spark, block):
     assert [r["n"] for r in keyed] == [sum(r["t"] - 50 < o["t"] <= r["t"] for o in keyed) for r in keyed]
     assert [r["p"] for r in keyed] == list(range(20)) and all(r["d"] == 1 for r in keyed)
     assert [r["before"] for r in keyed[1:]] == [r["id"] for r in keyed[:-1]]
+
+
+def test_few_blocks_read_the_input_once(spark):
+    data = to_spark(spark, heavy_rows(3))
+    plan = trailing_stats(data, ["k"], F.col("t"), 60, "x", NAMES, block=20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("block", [20, 15])
+def test_rows_without_position_or_key_in_few_blocks(spark, block):
+    rows = [("a", "u", None, 1.0, None), ("b", "u", None, 2.0, None), ("c", "u", 5, 4.0, None), ("d", "u", -54, None, None), ("e", None, 5, 8.0, None)]
+    rows += [("f", "u", -54, 16.0, None), ("g", "u", -55, 32.0, None)]
+    got = trailing_stats(spark.createDataFrame(rows, SCHEMA), ["k"], F.col("t"), 60, "x", NAMES, block=block).collect()
+    assert {r.id: (r.n, r.s, r.h) for r in got} == {
+        "a": (2, 3.0, 2.0),
+        "b": (2, 3.0, 2.0),
+        "c": (2, 20.0, 16.0),
+        "d": (2, 48.0, 32.0),
+        "e": (None, None, None),
+        "f": (2, 48.0, 32.0),
+        "g": (1, 32.0, 32.0),
+    }
