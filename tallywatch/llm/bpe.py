@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import fresh
+from tallywatch.llm.common import fresh, worker_table
 
 # The pattern belongs to the vocabulary format: fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -139,17 +139,22 @@ class Codec:
                     heappush(queue, found >> 32 << 32 | left)
         return [i for i in ids if i >= 0]
 
-    def _chunk(self, chunk: str) -> tuple[str, bytes]:
-        """The joined ids of a chunk, and the bytes that they decode to."""
+    def _chunk(self, chunk: str) -> str | tuple[str, bytes]:
+        """The joined ids of a chunk, and the bytes that they decode to unless those are its own."""
         pieces = self.pieces(chunk)
         if len(pieces) == 1:
-            ids = self.merge(chunk.encode())
-            return ",".join(map(str, ids)), b"".join([self.strings[i] for i in ids])
+            own = chunk.encode()
+            ids = self.merge(own)
+            joined, back = ",".join(map(str, ids)), b"".join([self.strings[i] for i in ids])
+            return joined if back == own else (joined, back)
         found = [self.known[piece] for piece in pieces]
-        return ",".join([joined for joined, _ in found]), b"".join([back for _, back in found])
+        joined = ",".join([one if type(one) is str else one[0] for one in found])
+        if all(type(one) is str for one in found):
+            return joined
+        return joined, b"".join([piece.encode() if type(one) is str else one[1] for piece, one in zip(pieces, found)])
 
-    def _chunks(self, text: str) -> list[tuple[str, bytes]]:
-        """Joined ids and decoded bytes of the chunks of a text, in order.
+    def _chunks(self, text: str) -> tuple[list[str], list[str | tuple[str, bytes]]]:
+        """The chunks of a text in order, and what is known of each.
 
         Where every space is followed by something visible, no piece of the
         pattern crosses the place before a space, so such texts are looked up
@@ -157,28 +162,33 @@ class Codec:
         """
         runs = self.split_special.split(text) if self.split_special else [text]
         known = self.known
-        found: list[tuple[str, bytes]] = []
+        chunks: list[str] = []
+        found: list[str | tuple[str, bytes]] = []
         for run in runs:
             if run in self.special:
-                found.append((str(self.special[run]), run.encode()))
-            elif run and self.space_before_blank(run):
-                found += [known[piece] for piece in self.pieces(run)]
+                chunks.append(run)
+                found.append(str(self.special[run]))
             elif run:
-                first, *rest = run.split(" ")
-                if first:
-                    found.append(known[first])
-                found += [known[" " + x] for x in rest]
-        return found
+                if self.space_before_blank(run):
+                    own = self.pieces(run)
+                else:
+                    first, *rest = run.split(" ")
+                    own = [first] * bool(first) + [" " + x for x in rest]
+                chunks += own
+                found += [known[x] for x in own]
+        return chunks, found
 
     def joined(self, text: str) -> str:
         """The ids of a text, joined by commas."""
-        return ",".join([joined for joined, _ in self._chunks(text)])
+        return ",".join([one if type(one) is str else one[0] for one in self._chunks(text)[1]])
 
     def round_trip(self, text: str) -> tuple[str, str]:
         """The joined ids of a text and the text that they decode to."""
-        found = self._chunks(text)
-        decoded = b"".join([back for _, back in found]).decode("utf-8", "replace")
-        return ",".join([joined for joined, _ in found]), decoded
+        chunks, found = self._chunks(text)
+        if set(map(type, found)) <= {str}:
+            return ",".join(found), "".join(chunks)
+        back = [chunk.encode() if type(one) is str else one[1] for chunk, one in zip(chunks, found)]
+        return ",".join([one if type(one) is str else one[0] for one in found]), b"".join(back).decode("utf-8", "replace")
 
     def encode(self, text: str) -> np.ndarray:
         return _numbers(self.joined(text))
@@ -187,16 +197,9 @@ class Codec:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def _codec(description: str) -> Codec:
     """The worker's codec for this description, with the pieces it has met."""
-    key = sha256(description.encode()).hexdigest()
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(description)
-    return _CODECS[key]
+    return worker_table(f"codec {sha256(description.encode()).hexdigest()}", lambda: Codec(description))
 
 
 def _broadcast(docs: DataFrame, vocabulary: str):

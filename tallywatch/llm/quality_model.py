@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import fresh, save_and_reload, text_bytes
+from tallywatch.llm.common import free_tables, fresh, save_and_reload, text_bytes
 
 BUCKETS = 1 << 15
 DIM = 64
@@ -51,7 +51,7 @@ class TokenRows(dict):
     """The table row of each token, remembered for a bounded number of tokens."""
 
     def __missing__(self, token: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         row = self[token] = xxhash.xxh32_intdigest(token) % BUCKETS
         return row
@@ -100,6 +100,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     width = BUCKETS * DIM // BLOCKS
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_tables()
         places, signs = index_vectors()
         table, rows, any_text = np.zeros(BUCKETS * DIM), TokenRows(), False
         for batch in batches:

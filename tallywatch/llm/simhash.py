@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallywatch.llm.common import fresh, save_and_reload, text_bytes
+from tallywatch.llm.common import free_tables, fresh, save_and_reload, text_bytes
 from tallywatch.llm.components import connected_components
 
 SEED = 42
@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_tables()
         for batch in batches:
             values = [fingerprint(text.as_py(), shingle) for text in batch.column(2)]
             fp = pa.array(np.array(values, dtype=np.uint64).view(np.int64), pa.int64())
