@@ -26,7 +26,7 @@ from tallywatch.config import ViewConfig
 from tallywatch.functions.labels import is_critical, risk_tier
 from tallywatch.functions.moments import count_where, safe_percentage, sum_where
 from tallywatch.functions.sketches import distinct_estimate, distinct_sketch, merged_distincts
-from tallywatch.functions.times import epoch_millis, interval, recent
+from tallywatch.functions.times import epoch_micros, epoch_millis, interval, recent
 from tallywatch.plans.refresh import TARGET_LAG, last_refreshed, publish_views
 from tallywatch.plans.views import alert_rows
 from tallywatch.sources import folders
@@ -362,6 +362,13 @@ def due_views(spark: SparkSession, views_path: str, as_of: Column, lags: dict[st
     return [name for name, is_late in late.first().asDict().items() if is_late]
 
 
+def _known_time(spark: SparkSession, as_of: Column) -> Column:
+    """``as_of`` as a literal, so that a time found by a query is looked up once and not by every view."""
+    one = spark.range(1)
+    kind = one.select(as_of).schema[0].dataType
+    return F.timestamp_micros(F.lit(one.select(epoch_micros(as_of)).first()[0]).cast("long")).cast(kind)
+
+
 def refresh_due(
     spark: SparkSession,
     scores_path: str,
@@ -376,7 +383,7 @@ def refresh_due(
     Without a due view nothing is read. All views of one refresh describe the
     same snapshot of the score table.
     """
-    stamp = F.lit(spark.range(1).select(F.current_timestamp()).first()[0]) if as_of is None else as_of
+    stamp = _known_time(spark, F.current_timestamp() if as_of is None else as_of)
     names = due_views(spark, views_path, stamp, lags)
     if names:
         snapshot = open_snapshot(spark, scores_path)

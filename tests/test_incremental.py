@@ -134,3 +134,14 @@ def test_old_versions_go(spark, tmp_path, parts):
 def test_nothing_stored_yet(spark, tmp_path):
     got = refreshed(spark, tmp_path)
     assert [len(got[name]) for name in ("fraud_summary_1min", "user_risk_profile", "fraud_alerts", "dashboard_kpi")] == [0, 0, 0, 1]
+
+
+def test_a_time_found_by_a_query_is_looked_up_once(spark, tmp_path, parts, monkeypatch):
+    append_batch(parts[0], f"{tmp_path}/scores", 0)
+    stamps = []
+    monkeypatch.setattr(incremental, "publish_views", lambda spark, views, path, stamp: stamps.append(stamp))
+    found = spark.range(3).select(F.max(at()).alias("moment")).scalar()
+    refresh_due(spark, f"{tmp_path}/scores", f"{tmp_path}/views", found, CONFIG, NEVER_FRESH)
+    row = spark.range(1).select(stamps[0].alias("stamp"), at().alias("moment"))
+    assert "scalar-subquery" not in row._jdf.queryExecution().analyzed().toString()
+    assert row.first()[0] == row.first()[1] and row.schema[0].dataType == row.schema[1].dataType
