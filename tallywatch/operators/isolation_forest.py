@@ -330,7 +330,8 @@ def score_column(nodes: DataFrame, sample_size: int, vector: Column) -> Column:
         points = np.stack(vectors.to_numpy())
         return pd.Series(-np.power(2.0, -mean_paths(points, shared.value) / normaliser))
 
-    return score(vector)
+    # else a filter on the score, such as a join or an aggregate of non-null ones adds, scores all rows once more
+    return score.asNondeterministic()(vector)
 
 
 def train_isolation_forest(

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywatch.session import save_and_reload
+
 
 def threshold_sweep(rows: DataFrame, score: Column, actual: Column, resolution: int = 8192) -> DataFrame:
     """One row per distinct score: rows and positives at or above it, and in all.
 
     Rows with a null score or label take no part. Equal scores are counted before they are
     exchanged; whole buckets are added up first and scores are then summed within their bucket,
-    so that no task ranks all scores.
+    so that no task ranks all scores. The counts are stored, as both steps read them: ``rows`` are
+    read once.
     """
     s = F.col("score")
     counts = (
@@ -20,6 +23,7 @@ def threshold_sweep(rows: DataFrame, score: Column, actual: Column, resolution:
         .groupBy(F.floor(F.signum(s) * F.log1p(F.abs(s)) * resolution).cast("long").alias("bucket"), "score")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if("actual").alias("hits"))
     )
+    counts = save_and_reload(counts, "score-counts")
     # rows of this window are buckets, whose number the resolution bounds
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()

@@ -163,6 +163,14 @@ def test_paths_equal_a_walk_by_hand(spark, vectors, points):
         assert max(d for _, d in walks) <= 8
 
 
+def test_a_filter_on_the_score_scores_no_row_twice(spark, vectors):
+    forest = train_isolation_forest(vectors.select("id", "features"), "id", cfg=ForestConfig(trees=3))
+    scored = forest.score(vectors.select("id", "features")).join(vectors.select("id", "is_injected"), "id")
+    for rows in (scored.select((-F.col("isolation_score")).alias("score"), "is_injected").dropna(), scored.filter("isolation_score < 0")):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+        assert rows.count() == 1000
+
+
 def test_forest_finds_injected_rows(spark, vectors, tmp_path):
     forest = train_isolation_forest(vectors.select("id", "features"), "id", cfg=CONFIG)
     scored = forest.score(vectors).toPandas()

@@ -46,3 +46,17 @@ def test_no_rows_and_one_class(spark):
     assert (row.n_rows, row.positives, row.auc, row.flagged, row.precision, row.recall) == (2, 0, None, 1, 0.0, None)
     empty = ranking_quality(frame.limit(0), F.col("s"), F.col("a"), 0.5).first()
     assert (empty.n_rows, empty.positives, empty.auc, empty.flagged, empty.best_f1) == (0, 0, None, None, None)
+
+
+def test_rows_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(score):
+        read.add(1)
+        return score
+
+    frame = spark.createDataFrame([(float(i), i % 9 == 0) for i in range(100)], "s double, a boolean")
+    rows = frame.select(counted.asNondeterministic()("s").alias("s"), "a")
+    assert ranking_quality(rows, F.col("s"), F.col("a"), 0.5).first().n_rows == 100
+    assert read.value == 100
