@@ -107,21 +107,26 @@ def draw_samples(rows: DataFrame, identity: str, vector: str, cfg: ForestConfig)
     counts the rows below the drawn hash prefixes by ``LEVEL_BITS`` further
     bits, which turns a rank into a longer prefix and a rank inside it. Levels
     follow until no drawn prefix holds more than ``RANKED_ROWS`` rows; only
-    those rows are ranked, the rest of the table is counted, not moved. The
-    order, and so what is drawn, does not depend on the number of levels.
+    those rows are ranked, the rest of the table is counted, not moved. One
+    reading of the table counts its rows, by prefixes that serve the first two
+    levels, and one gives those to rank; more levels read it again. The order, and so what is drawn, does not depend on the number of levels.
     Copies of a row are ranked as one entry with a count; different rows that
     share an id cannot be told apart by further bits and are ranked together.
     """
     if cfg.trees * cfg.sample_size > MAX_DRAWS:
         raise ValueError(f"trees * sample_size may be {MAX_DRAWS} at most")
     spark = rows.sparkSession
-    total = rows.count()
-    size = min(cfg.sample_size, total)
     hashed = rows.select(
         F.col(identity).alias("_id"),
         F.col(vector).alias("_x"),
         hash_number(F.col(identity), cfg.seed).alias("_h"),
+        F.lit(1).alias("_n"),
     )
+    counted = 2 * LEVEL_BITS
+    lowest = F.shiftleft(_prefix(counted), HASH_BITS - counted)
+    prefixes = save_and_reload(hashed.groupBy(lowest.alias("_h")).agg(F.sum("_n").alias("_n")), "prefixes")
+    total = prefixes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    size = min(cfg.sample_size, total)
     located = spark.range(cfg.trees * size).select(
         (F.col("id") / size).cast("int").alias("tree_id"),
         F.lit(0).cast("long").alias("_bucket"),
@@ -131,9 +136,9 @@ def draw_samples(rows: DataFrame, identity: str, vector: str, cfg: ForestConfig)
     while largest > RANKED_ROWS and bits + LEVEL_BITS < HASH_BITS:
         # a window sees the 2^LEVEL_BITS counts below one prefix and the draws there, never rows
         counts = (
-            _drawn_rows(hashed, located, bits)
+            _drawn_rows(prefixes if bits + LEVEL_BITS <= counted else hashed, located, bits)
             .groupBy("_bucket", _prefix(bits + LEVEL_BITS).alias("_next"))
-            .agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.sum("_n").alias("_n"))
         )
         earlier = Window.partitionBy("_bucket").orderBy("_next").rowsBetween(Window.unboundedPreceding, -1)
         starts = counts.withColumn("_rank", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).select(
@@ -150,7 +155,7 @@ def draw_samples(rows: DataFrame, identity: str, vector: str, cfg: ForestConfig)
     row_starts = (
         _drawn_rows(hashed, located, bits)
         .groupBy("_bucket", "_h", "_id", "_x")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_n").alias("_n"))
         .select("_bucket", F.coalesce(F.sum("_n").over(in_bucket), F.lit(0)).alias("_rank"), F.struct("_id", "_x").alias("_at"))
     )
     sampled = _last_start(row_starts, located, "_bucket")
@@ -286,36 +291,58 @@ class IsolationForest:
         )
 
 
-def packed_nodes(nodes: DataFrame) -> tuple[np.ndarray, ...]:
-    """Node arrays with children as positions; leaves point to themselves."""
-    table = nodes.toPandas().sort_values(["tree_id", "node_id"], kind="stable").reset_index(drop=True)
-    tree = table["tree_id"].to_numpy()
-    roots = np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]])
-    leaf = table["feature"].to_numpy() < 0
-    here = np.arange(len(table))
-    place = (tree.astype("int64") << 32) + table["node_id"].to_numpy()
-
-    def position(child: str) -> np.ndarray:
-        wanted = (tree.astype("int64") << 32) + table[child].to_numpy()
-        return np.where(leaf, here, np.searchsorted(place, wanted))
-
-    left, right = position("left"), position("right")
-    feature = np.where(leaf, 0, table["feature"].to_numpy())
-    return roots, feature, table["threshold"].to_numpy(), left, right, table["path"].to_numpy(), leaf
+def packed_nodes(nodes: DataFrame) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """The trees as full ones of equal depth: thresholds by feature, splits by level, paths by last place.
 
-
-def mean_paths(points: np.ndarray, packed: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Mean path length of each point over all trees."""
-    roots, feature, threshold, left, right, path, leaf = packed
+    A split holds its feature and the rank of its threshold among all thresholds of that feature.
+    Places below a leaf, and those no split leads to, send every row to the left. There are at most
+    four places a draw.
+    """
+    table = nodes.toPandas()
+    trees, tree = np.unique(table["tree_id"].to_numpy(), return_inverse=True)
+    number, feature = table["node_id"].to_numpy().astype("int64") + 1, table["feature"].to_numpy()
+    threshold, leaf = table["threshold"].to_numpy(), feature < 0
+    depth = np.frexp(number.astype("float64"))[1].astype("int64") - 1
+    deepest = depth.max(initial=0)
+    limits = [np.unique(threshold[feature == i]) for i in range(feature.max(initial=-1) + 1)]
+    # places of a level are numbered through all trees, so the children of place p are 2p and 2p + 1
+    place = number + ((tree - 1) << depth)
+    levels = []
+    for level in range(deepest):
+        asked = np.zeros(len(trees) << level, dtype="int64")
+        rank = np.full(len(asked), np.iinfo("int32").max, dtype="int32")
+        here = ~leaf & (depth == level)
+        asked[place[here]] = feature[here]
+        for i, known in enumerate(limits):
+            own = here & (feature == i)
+            rank[place[own]] = np.searchsorted(known, threshold[own])
+        levels.append((asked.reshape(len(trees), -1), rank.reshape(len(trees), -1)))
+    path = np.zeros(len(trees) << deepest)
+    path[place[leaf] << (deepest - depth[leaf])] = table["path"].to_numpy()[leaf]
+    return limits, levels, path.reshape(len(trees), -1)
+
+
+def mean_paths(points: np.ndarray, packed: tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]], np.ndarray]) -> np.ndarray:
+    """Mean path length of each point over all trees.
+
+    A value is at most a threshold where its rank among the thresholds is at most the threshold's;
+    values that are no numbers rank above all. Rows take one step a level, whatever leaf they end in.
+    """
+    limits, levels, path = packed
     total = np.zeros(len(points))
+    ranks = np.array([np.searchsorted(known, points[:, i]) for i, known in enumerate(limits)], dtype="int32").ravel()
     rows = np.arange(len(points))
-    for root in roots:
-        at = np.full(len(points), root)
-        while not leaf[at].all():
-            goes_left = points[rows, feature[at]] <= threshold[at]
-            at = np.where(goes_left, left[at], right[at])
-        total += path[at]
-    return total / len(roots)
+    for tree, paths in enumerate(path):
+        at = np.zeros(len(points), dtype="int64")
+        for asked, rank in levels:
+            # every place is known to exist: clipping only spares numpy the check
+            value = (asked[tree] * len(points)).take(at, mode="clip")
+            value += rows
+            goes_right = ranks.take(value, mode="clip") > rank[tree].take(at, mode="clip")
+            at += at
+            at += goes_right
+        total += paths.take(at)
+    return total / len(path)
 
 
 def score_column(nodes: DataFrame, sample_size: int, vector: Column) -> Column:

@@ -163,6 +163,20 @@ def test_paths_equal_a_walk_by_hand(spark, vectors, points):
         assert max(d for _, d in walks) <= 8
 
 
+def test_paths_at_thresholds_and_of_values_that_are_no_numbers(spark):
+    """Trees of different depth, one of them a single leaf; a value on a threshold goes left, NaN right."""
+    nodes = spark.createDataFrame(
+        [(3, 0, 1, 2.0, 1, 2, 0.0), (3, 1, -1, 0.0, -1, -1, 1.0), (3, 2, 0, -1.0, 5, 6, 0.0), (3, 5, -1, 0.0, -1, -1, 20.0),
+         (3, 6, 1, 4.0, 13, 14, 0.0), (3, 13, -1, 0.0, -1, -1, 300.0), (3, 14, -1, 0.0, -1, -1, 4000.0), (7, 0, -1, 0.0, -1, -1, 0.5)],
+        "tree_id int, node_id int, feature int, threshold double, left int, right int, path double",
+    )
+    nan, inf = float("nan"), float("inf")
+    points = np.array([[9, 2], [-1, 2.5], [0, 4], [0, 5], [nan, nan], [-inf, inf], [inf, -inf], [nan, 3]])
+    wanted = [1, 20, 300, 4000, 4000, 20, 1, 300]
+    assert mean_paths(points, packed_nodes(nodes)).tolist() == [(path + 0.5) / 2 for path in wanted]
+    assert mean_paths(points, packed_nodes(nodes.filter("tree_id = 7"))).tolist() == [0.5] * 8
+
+
 def test_a_filter_on_the_score_scores_no_row_twice(spark, vectors):
     forest = train_isolation_forest(vectors.select("id", "features"), "id", cfg=ForestConfig(trees=3))
     scored = forest.score(vectors.select("id", "features")).join(vectors.select("id", "is_injected"), "id")
@@ -171,6 +185,23 @@ def test_a_filter_on_the_score_scores_no_row_twice(spark, vectors):
         assert rows.count() == 1000
 
 
+def test_draws_read_the_rows_twice(spark, vectors, monkeypatch):
+    """Once to count them, whatever two levels ask for, once to rank the drawn ones."""
+    monkeypatch.setattr(isolation_forest, "RANKED_ROWS", 100)
+    monkeypatch.setattr(isolation_forest, "LEVEL_BITS", 3)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(identity):
+        read.add(1)
+        return identity
+
+    rows = vectors.select(counted.asNondeterministic()("id").alias("id"), "features")
+    sampled, _ = draw_samples(rows, "id", "features", ForestConfig(trees=3))
+    assert len(sampled.select("id").collect()) == 3 * 256
+    assert read.value == 2 * 1000
+
+
 def test_forest_finds_injected_rows(spark, vectors, tmp_path):
     forest = train_isolation_forest(vectors.select("id", "features"), "id", cfg=CONFIG)
     scored = forest.score(vectors).toPandas()
