@@ -180,7 +180,7 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts per language and script: of words, and of classes under keys of the form 0x00, number."""
 
     def rows(place: tuple[str, str], counts: dict[bytes, int]) -> pa.RecordBatch:
-        arrays = [pa.array([name] * len(counts)) for name in place]
+        arrays = [pa.array([name] * len(counts), pa.string()) for name in place]
         arrays += [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
         return pa.RecordBatch.from_arrays(arrays, names=["lang", "script", "item", "n"])
 
@@ -190,6 +190,8 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
+            if not text:
+                continue
             of_bytes = byte_counts(text)
             counter = seen.setdefault((lang or EVERY, EVERY + script_of(of_bytes)), Counter())
             held -= len(counter)
