@@ -174,10 +174,12 @@ class Reference:
 
 
 FLUSH = 200_000
+# begins the keys of classes; no word holds a blank, while any other byte may begin one
+CLASS_KEY = b" "
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts per language and script: of words, and of classes under keys of the form 0x00, number."""
+    """Counts per language and script: of words, and of classes under ``CLASS_KEY`` and their number."""
 
     def rows(place: tuple[str, str], counts: dict[bytes, int]) -> pa.RecordBatch:
         arrays = [pa.array([name] * len(counts), pa.string()) for name in place]
@@ -198,7 +200,7 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counter.update(text.split())
             for number, n in enumerate((of_bytes @ IN_CLASS).tolist()):
                 if n:
-                    counter[b"\x00%d" % number] += n
+                    counter[b"%b%d" % (CLASS_KEY, number)] += n
             held += len(counter)
             if held > FLUSH:
                 yield from (rows(*one) for one in seen.items())
@@ -211,7 +213,7 @@ def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> d
     picked = docs.select(column_or_null(docs, "lang", "string").alias("lang"), text_bytes().alias("text"))
     tallied = picked.mapInArrow(_tally, "lang string, script string, item binary, n long")
     counted = save_and_reload(tallied.groupBy("lang", "script", "item").agg(F.sum("n").alias("n")), "word-counts")
-    is_class = F.substring("item", 1, 1) == F.lit(b"\x00")
+    is_class = F.substring("item", 1, 1) == F.lit(CLASS_KEY)
     floor = (counted.where(~is_class).agg(F.sum("n")).first()[0] or 0) * LANGUAGE_SHARE
     parts = []
     for place in (F.when(~F.startswith("lang", F.lit(EVERY)), F.col("lang")), F.col("script")):
@@ -233,10 +235,10 @@ def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> d
         rows.setdefault(row.lang, []).append(row)
     for lang, own in rows.items():
         classes = np.zeros(len(CLASSES))
-        words = sorted(((r.n, bytes(r.item)) for r in own if not r.item.startswith(b"\x00")), key=lambda x: (-x[0], x[1]))
+        words = sorted(((r.n, bytes(r.item)) for r in own if not r.item.startswith(CLASS_KEY)), key=lambda x: (-x[0], x[1]))
         for r in own:
-            if r.item.startswith(b"\x00"):
-                classes[int(bytes(r.item)[1:])] = r.n
+            if r.item.startswith(CLASS_KEY):
+                classes[int(bytes(r.item)[len(CLASS_KEY) :])] = r.n
         counts = [n for n, _ in words] + [own[0].total - sum(n for n, _ in words)]
         found[lang] = Reference(classes, {w: i for i, (_, w) in enumerate(words)}, np.array(counts, float))
     return found
